@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from shapelog.llm import spans
 from shapelog.llm.common import table
 
-#: Words whose encoding is remembered, in each Python worker.
-CACHED_WORDS = 200_000
+#: Words whose encoding is remembered, in each Python worker: up to twice as many.
+CACHED_WORDS = 250_000
 #: No merge: larger than any rank.
 NONE = 1 << 62
 
@@ -37,31 +37,24 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class PairTree:
-    """Minimum of (rank, position) over the adjacent pairs of a list of symbols."""
+#: A leaf of the tree: rank, position and the merged symbol's id, in so many bits of one integer, so
+#: that the smallest integer is the lowest rank, the leftmost of equals.
+RANK_BITS, PLACE_BITS, ID_BITS = 16, 27, 17
+PLACE = ((1 << PLACE_BITS) - 1) << ID_BITS
+ID = (1 << ID_BITS) - 1
 
-    def __init__(self, keys: list[int]):
-        self.size = size = 1 << max(0, len(keys) - 1).bit_length()
-        self.nodes = nodes = [NONE] * size + keys + [NONE] * (size - len(keys))
-        for i in range(size - 1, 0, -1):
-            a, b = nodes[2 * i], nodes[2 * i + 1]
-            nodes[i] = a if a < b else b
 
-    def root(self) -> int:
-        return self.nodes[1]
-
-    def update(self, i: int, key: int) -> None:
-        nodes = self.nodes
-        i += self.size
+def raise_minimum(nodes: list[int], i: int, key: int) -> None:
+    """Set a leaf of the tree and the minima above it, as far as they change."""
+    nodes[i] = key
+    while i > 1:
+        other = nodes[i ^ 1]
+        if other < key:
+            key = other
+        i >>= 1
+        if nodes[i] == key:
+            return
         nodes[i] = key
-        while i > 1:
-            other = nodes[i ^ 1]
-            if other < key:
-                key = other
-            i >>= 1
-            if nodes[i] == key:
-                return
-            nodes[i] = key
 
 
 class Bpe:
@@ -74,9 +67,10 @@ class Bpe:
         self.specials = {x["content"]: x["id"] for x in spec["added_tokens"]}
         self.tokens = {i: t for t, i in self.vocab.items()} | {i: t for t, i in self.specials.items()}
         self.end = model["end_of_word_suffix"]
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
-        for rank, (a, b) in enumerate(model["merges"]):
-            self.merges.setdefault((self.vocab[a], self.vocab[b]), (rank, self.vocab[a + b]))
+        self.merges: dict[int, int] = {}
+        for rank, (x, y) in enumerate(model["merges"]):
+            key = rank << PLACE_BITS + ID_BITS | self.vocab[x + y]
+            self.merges.setdefault(self.vocab[x] << ID_BITS | self.vocab[y], key)
         chars = byte_characters()
         self.inner = [self.vocab.get(chars[b]) for b in range(256)]
         self.last = [self.vocab.get(chars[b] + self.end) for b in range(256)]
@@ -84,44 +78,53 @@ class Bpe:
         #: The same pattern over ASCII texts in lower case.
         self.ascii_pattern = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x09-\x0D\x20a-z0-9]+")
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")")
+        #: Of two generations, so that words in use stay when the memory is full.
         self.cache: dict[str, tuple[str, int, str]] = {}
+        self.older: dict[str, tuple[str, int, str]] = {}
 
     def merge_word(self, word: bytes) -> list[int]:
-        symbols = [self.inner[b] for b in word[:-1]] + [self.last[word[-1]]]
-        symbols = [s for s in symbols if s is not None]  # as there is no unknown token
-        n, merges = len(symbols), self.merges
-        bits = n.bit_length()
-        mask = (1 << bits) - 1
-
-        def key(i: int, j: int) -> int:
-            found = merges.get((symbols[i], symbols[j]))
-            return NONE if found is None else found[0] << bits | i
-
-        tree = PairTree([key(i, i + 1) for i in range(n - 1)])
+        inner = self.inner
+        symbols = [inner[b] for b in word]
+        symbols[-1] = self.last[word[-1]]
+        if None in symbols:  # dropped, as there is no unknown token
+            symbols = [s for s in symbols if s is not None]
+        n, get = len(symbols), self.merges.get
+        size = 1 << max(0, n - 2).bit_length()
+        nodes = [NONE] * size
+        nodes += [get(x << ID_BITS | y, NONE) + (i << ID_BITS) for i, (x, y) in enumerate(zip(symbols, symbols[1:], strict=False))]
+        nodes += [NONE] * (2 * size - len(nodes))
+        for i in range(size - 1, 0, -1):
+            a, b = nodes[2 * i], nodes[2 * i + 1]
+            nodes[i] = a if a < b else b
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        while (top := tree.root()) != NONE:
-            i = top & mask
+        while (top := nodes[1]) < NONE:
+            i = (top & PLACE) >> ID_BITS
             j = after[i]
-            symbols[i] = merges[symbols[i], symbols[j]][1]
-            symbols[j] = None
+            symbols[i] = x = top & ID
+            symbols[j] = -1
             after[i] = k = after[j]
-            if j < n - 1:
-                tree.update(j, NONE)
             if k < n:
                 before[k] = i
-                tree.update(i, key(i, k))
+                raise_minimum(nodes, size + j, NONE)
+                raise_minimum(nodes, size + i, get(x << ID_BITS | symbols[k], NONE) + (i << ID_BITS))
             else:
-                tree.update(i, NONE)
-            if (h := before[i]) >= 0:
-                tree.update(h, key(h, i))
-        return [s for s in symbols if s is not None]
+                raise_minimum(nodes, size + i, NONE)
+            h = before[i]
+            if h >= 0:
+                raise_minimum(nodes, size + h, get(symbols[h] << ID_BITS | x, NONE) + (h << ID_BITS))
+        return [s for s in symbols if s >= 0]
 
     def word(self, word: str) -> tuple[str, int, str]:
         """A word's ids as text, their number, and what they decode to."""
+        if (known := self.older.get(word)) is not None:
+            return self.remember(word, known)
         ids = self.merge_word(word.encode())
         out = " ".join(map(str, ids)), len(ids), self.decode(ids)
+        return self.remember(word, out)
+
+    def remember(self, word: str, out: tuple[str, int, str]) -> tuple[str, int, str]:
         if len(self.cache) >= CACHED_WORDS:
-            self.cache.clear()
+            self.older, self.cache = self.cache, {}
         self.cache[word] = out
         return out
 

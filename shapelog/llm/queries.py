@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from shapelog.llm import decontaminate, exact_dedup
+from shapelog.llm import bpe, decontaminate, exact_dedup, substring_dedup, suffix_dedup
 
 QUERIES = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op5_bpe": bpe.op5_bpe,
+    "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
+    "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
 }
 
 ORACLE_SQL = {
     "op2_decontaminate": decontaminate.SQL,
+    "op6_substring_dedup": substring_dedup.SQL,
     "op7_exact_dedup": exact_dedup.SQL,
 }
