@@ -22,8 +22,12 @@ FOLDED_VALUES[65:91] = BYTE_VALUES[97:123]
 #: Odd multipliers of the doubling steps of `grams`.
 STEPS = _rng.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BASE = 0x9E3779B97F4A7C15 | 1
-SPACE = np.zeros(256, dtype=bool)
-SPACE[[32, *range(9, 14)]] = True
+#: Bytes that words are made of: all but ASCII white space.
+NOT_SPACE = np.ones(256, dtype=bool)
+NOT_SPACE[[32, *range(9, 14)]] = False
+#: Digits, letters and all of UTF-8's longer characters.
+WORD_BYTES = np.zeros(256, dtype=bool)
+WORD_BYTES[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
 _powers: dict[str, np.ndarray] = {}
 
@@ -62,9 +66,9 @@ def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the runs of non-space bytes, and the first word of each text (one more than texts)."""
-    inside = ~SPACE[raw]
+def words(raw: np.ndarray, offsets: np.ndarray, of: np.ndarray = NOT_SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the runs of bytes in `of`, and the first word of each text (one more than texts)."""
+    inside = of[raw]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     last = inside.copy()
@@ -119,22 +123,3 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
         width *= 2
     rest = w - width
     return np.minimum(have[: len(have) - rest], have[rest:]) if rest else have
-
-
-def minimizer_runs(hashes: np.ndarray, k: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of consecutive windows (of `window` tokens) that share their minimizer k-gram.
-
-    hashes: of all k-grams of one text. Gives the minimizer's position, the first window start and
-    the number of windows of each run. Equal windows choose the same k-gram at the same offset
-    (smallest hash, leftmost of equals), wherever they stand.
-    """
-    w = window - k + 1
-    n = len(hashes) - w + 1
-    if n <= 0:
-        none = np.zeros(0, np.int64)
-        return none, none, none
-    keys = (hashes & np.uint64(0xFFFFFFFF00000000)) | np.arange(len(hashes), dtype=np.uint64)
-    owner = (sliding_min(keys, w) & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    cut = np.flatnonzero(np.diff(owner)) + 1
-    first = np.concatenate([[0], cut])
-    return owner[first], first, np.diff(np.concatenate([first, [n]]))

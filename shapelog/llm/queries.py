@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from shapelog.llm import bpe, decontaminate, exact_dedup, substring_dedup, suffix_dedup
+from shapelog.llm import bpe, decontaminate, exact_dedup, quality, substring_dedup, suffix_dedup, toxicity, warc
 
 QUERIES = {
+    "op1_warc": warc.op1_warc,
     "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op3_toxicity": toxicity.op3_toxicity,
+    "op4_quality": quality.op4_quality,
     "op5_bpe": bpe.op5_bpe,
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
@@ -13,6 +16,7 @@ QUERIES = {
 }
 
 ORACLE_SQL = {
+    "op1_warc": warc.SQL,
     "op2_decontaminate": decontaminate.SQL,
     "op6_substring_dedup": substring_dedup.SQL,
     "op7_exact_dedup": exact_dedup.SQL,
