@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shapelog.llm import bpe, decontaminate, exact_dedup, quality, substring_dedup, suffix_dedup, toxicity, warc
+from shapelog.llm import bpe, decontaminate, exact_dedup, line_dedup, ngram_join, quality, substring_dedup, suffix_dedup, toxicity, warc
 
 QUERIES = {
     "op1_warc": warc.op1_warc,
@@ -12,6 +12,8 @@ QUERIES = {
     "op5_bpe": bpe.op5_bpe,
     "op6_substring_dedup": substring_dedup.op6_substring_dedup,
     "op7_exact_dedup": exact_dedup.op7_exact_dedup,
+    "op9_line_dedup": line_dedup.op9_line_dedup,
+    "op10_ngram_join": ngram_join.op10_ngram_join,
     "op8_suffix_dedup": suffix_dedup.op8_suffix_dedup,
 }
 
@@ -20,4 +22,6 @@ ORACLE_SQL = {
     "op2_decontaminate": decontaminate.SQL,
     "op6_substring_dedup": substring_dedup.SQL,
     "op7_exact_dedup": exact_dedup.SQL,
+    "op9_line_dedup": line_dedup.SQL,
+    "op10_ngram_join": ngram_join.SQL,
 }
