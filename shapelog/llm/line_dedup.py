@@ -34,6 +34,7 @@ def line_dedup(docs: DataFrame, folder: str, lines: int = LINES) -> DataFrame:
     # 128 bits of digest: windows are compared by value, whatever their number.
     seen = materialize(split.select("doc", "rid", F.posexplode(window).alias("lo", "w")), f"{folder}/windows")
     again = seen.groupBy("w").agg(F.min(F.struct("doc", "rid", "lo")).alias("first"), F.count("*").alias("times")).filter("times > 1").select("w", "first")
+    again = materialize(again, f"{folder}/again")  # so that both sides of the join are plain shuffles, which Spark can split
     later = seen.join(again.hint("merge"), "w").filter("struct(doc, rid, lo) > first").selectExpr("doc", "rid", "lo", f"{lines} AS len")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
