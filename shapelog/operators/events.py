@@ -14,32 +14,32 @@ from shapelog.operators.formats import with_format
 MAP = "map<string,string>"
 
 
-def with_fields(lines: DataFrame, books: list[dict] | None = None) -> DataFrame:
-    """Adds `fields`, by the parser of the line's format; null where it rejects the line."""
+def with_fields(lines: DataFrame, books: list[dict] | None = None, shapes: list[str] | None = None) -> DataFrame:
+    """Adds `fields`, by the parser of the line's format; null where it rejects the line.
+
+    shapes: the formats that occur, if that is known; the plan then holds their parsers only.
+    """
     raw, form = F.col("raw"), F.col("format")
     header = F.col("header") if "header" in lines.columns else F.lit(None).cast("string")
-    fields = (
-        F.when(form == "json", parse.parse_json(raw))
-        .when(form == "csv", parse.parse_csv(header, raw))
-        .when(form == "kv_syslog", parse.parse_kv(raw))
-        .when(form == "cef", parse.parse_cef(raw))
-        .when(form == "leef", parse.parse_leef(raw))
-        .when(form == "syslog5424", parse.parse_rfc5424(raw))
-        .when(form == "coded_syslog", parse.parse_coded(raw, books))
-    )
+    parsers = {
+        "json": lambda: parse.parse_json(raw), "csv": lambda: parse.parse_csv(header, raw), "kv_syslog": lambda: parse.parse_kv(raw), "cef": lambda: parse.parse_cef(raw),
+        "leef": lambda: parse.parse_leef(raw), "syslog5424": lambda: parse.parse_rfc5424(raw), "coded_syslog": lambda: parse.parse_coded(raw, books),
+    }
+    fields = F.when(form.isNull(), None)
+    for shape in parsers if shapes is None else [s for s in parsers if s in shapes]:
+        fields = fields.when(form == shape, parsers[shape]())
     return lines.withColumn("fields", fields.cast(MAP))
 
 
-def structured_event(form: Column, fields: Column, raw: Column) -> Column:
-    return (
-        F.when(form == "json", let(fields, lambda f: normalize.json_event(f, raw)))
-        .when(form == "csv", let(fields, normalize.csv_event))
-        .when(form == "kv_syslog", let(fields, normalize.kv_event))
-        .when(form == "cef", let(fields, normalize.cef_event))
-        .when(form == "leef", let(fields, normalize.leef_event))
-        .when(form == "syslog5424", let(fields, normalize.rfc5424_event))
-        .when(form == "coded_syslog", let(fields, normalize.coded_event))
-    )
+def structured_event(form: Column, fields: Column, raw: Column, shapes: list[str] | None = None) -> Column:
+    builders = {
+        "json": lambda f: normalize.json_event(f, raw), "csv": normalize.csv_event, "kv_syslog": normalize.kv_event, "cef": normalize.cef_event, "leef": normalize.leef_event,
+        "syslog5424": normalize.rfc5424_event, "coded_syslog": normalize.coded_event,
+    }
+    event = F
+    for shape in builders if shapes is None else [s for s in builders if s in shapes]:
+        event = event.when(form == shape, let(fields, builders[shape]))
+    return event
 
 
 def _finish(rows: DataFrame, now: Column | None) -> DataFrame:
@@ -48,13 +48,13 @@ def _finish(rows: DataFrame, now: Column | None) -> DataFrame:
     return done.select(F.col("lineage.event_id").alias("event_id"), "event.*", "lineage", "raw")
 
 
-def parsed_lines(lines: DataFrame, books: list[dict] | None = None) -> DataFrame:
+def parsed_lines(lines: DataFrame, books: list[dict] | None = None, shapes: list[str] | None = None) -> DataFrame:
     """Lines that aren't blank, with format and fields; a table's header goes and its rows count from 1."""
     known = lines if "format" in lines.columns else with_format(lines)
     csv = F.col("format") == "csv"
     rows = known.filter(strip(F.col("raw")) != "").filter(~csv | (F.col("line_number") > 1))
     rows = rows.withColumn("line_number", F.when(csv, F.col("line_number") - 1).otherwise(F.col("line_number")))
-    return with_fields(rows, books)
+    return with_fields(rows, books, shapes)
 
 
 def template_events(hits: DataFrame, now: Column | None = None) -> DataFrame:
@@ -62,8 +62,8 @@ def template_events(hits: DataFrame, now: Column | None = None) -> DataFrame:
     return _finish(hits.withColumn("event", normalize.template_event(F.col("template"), F.col("variables"), F.col("raw"))), now)
 
 
-def structured_events(parsed: DataFrame, now: Column | None = None) -> DataFrame:
-    rows = parsed.filter("fields IS NOT NULL").withColumn("event", structured_event(F.col("format"), F.col("fields"), F.col("raw")))
+def structured_events(parsed: DataFrame, now: Column | None = None, shapes: list[str] | None = None) -> DataFrame:
+    rows = parsed.filter("fields IS NOT NULL").withColumn("event", structured_event(F.col("format"), F.col("fields"), F.col("raw"), shapes))
     return _finish(rows, now)
 
 

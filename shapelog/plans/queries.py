@@ -51,7 +51,7 @@ for _shape in LINES:
     @query(f"{_shape.removesuffix('_syslog').replace('syslog', 'rfc')}_events", f"{SQL_BASE}\n{expected(_shape)}")
     def shape_events(spark, sf_dir, shape=_shape):
         number = "event_id + 2" if shape == "csv" else "event_id + 1"  # a table's rows count from after its header
-        return event_columns(structured_events(parsed_lines(lines(spark, sf_dir, shape, number))))
+        return event_columns(structured_events(parsed_lines(lines(spark, sf_dir, shape, number), shapes=[shape]), shapes=[shape]))
 
 
 # --- coded messages -----------------------------------------------------------------------------
@@ -81,7 +81,7 @@ def coded_lines(spark: SparkSession, sf_dir: str, message: str) -> DataFrame:
 
 
 def coded_events(spark: SparkSession, sf_dir: str, message: str) -> DataFrame:
-    found = structured_events(parsed_lines(coded_lines(spark, sf_dir, message)))
+    found = structured_events(parsed_lines(coded_lines(spark, sf_dir, message), shapes=["coded_syslog"]), shapes=["coded_syslog"])
     return found.withColumn("line_number", F.col("lineage.line_number")).select(*CODED_COLUMNS)
 
 
@@ -275,7 +275,7 @@ SQL_MIXED = f"{SQL_BASE},\nev AS ({_DEALT})"
 
 def mixed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events of six files whose formats are found from their lines."""
-    return structured_events(parsed_lines(mixed_lines(spark, sf_dir)))
+    return structured_events(parsed_lines(mixed_lines(spark, sf_dir), shapes=list(LINES)), shapes=list(LINES))
 
 
 @query("mixed_events", f"{SQL_MIXED} SELECT * FROM ev")
@@ -285,7 +285,7 @@ def mixed_event_columns(spark, sf_dir):
 
 @query("kv_summary", f"{SQL_BASE} SELECT action, 'kv_syslog' AS source_format, count(*) AS events, CAST(0.95 AS DOUBLE) AS avg_confidence FROM e GROUP BY action")
 def kv_summary(spark, sf_dir):
-    found = structured_events(parsed_lines(lines(spark, sf_dir, "kv_syslog")))
+    found = structured_events(parsed_lines(lines(spark, sf_dir, "kv_syslog"), shapes=["kv_syslog"]), shapes=["kv_syslog"])
     return found.groupBy("action", "source_format").agg(F.count("*").alias("events"), (F.sum(F.round(F.col("confidence") * 100).cast("bigint")) / F.count("*") / 100).alias("avg_confidence"))
 
 
@@ -445,7 +445,7 @@ def flatten_lineage(spark, sf_dir):
 
 @query("bulk_ndjson", f"{SQL_BASE} SELECT 'shapelog-events' AS idx, TRUE AS same_id, action, iso AS stamp, 24 AS keys FROM e")
 def bulk_ndjson(spark, sf_dir):
-    found = sinks.bulk_ndjson(structured_events(parsed_lines(lines(spark, sf_dir, "kv_syslog"))))
+    found = sinks.bulk_ndjson(structured_events(parsed_lines(lines(spark, sf_dir, "kv_syslog"), shapes=["kv_syslog"]), shapes=["kv_syslog"]))
     doc = F.element_at(F.split("value", "\n"), 2)
     action = F.element_at(F.split("value", "\n"), 1)
     return found.select(
