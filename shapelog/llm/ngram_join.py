@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shapelog.llm import kernels, spans
-from shapelog.llm.common import HEAVY_SHARE, materialize, table, work_dir
+from shapelog.llm.common import HEAVY_SHARE, materialize, release_shuffles, table, work_dir
 from shapelog.llm.components import components
 
 SHINGLE = 5
@@ -92,7 +92,7 @@ def survey(docs: DataFrame, size: int, folder: str) -> tuple[DataFrame, np.ndarr
     return both.filter("n >= 0").select("doc", "rid", "n", "c"), levels
 
 
-def blocks(docs: DataFrame, levels: np.ndarray, size: int, percent: int) -> DataFrame:
+def blocks(docs: DataFrame, levels: np.ndarray, size: int, percent: int, folder: str) -> DataFrame:
     """(block, c, n): which classes meet in a prefix list, under the smallest class of the list."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
     shift = np.uint64(64 - SKETCH_BITS)
@@ -128,19 +128,27 @@ def blocks(docs: DataFrame, levels: np.ndarray, size: int, percent: int) -> Data
             last = (h[-1], first[-1], first_n[-1])
             block, block_n = np.repeat(first, length), np.repeat(first_n, length)
             met = (c != block) | (n != block_n)
-            rows = np.unique(np.column_stack([block[met], block_n[met], c[met], n[met]]), axis=0)
+            met[1:] &= (h[1:] != h[:-1]) | (c[1:] != c[:-1]) | (n[1:] != n[:-1])  # once a list
+            shared = np.add.reduceat(met, begin) > 0
+            rows = np.vstack([np.column_stack([block, c, n])[met], np.column_stack([first, first, first_n])[shared]])
             if len(rows):
-                own = np.unique(rows[:, :2], axis=0)
-                rows = np.vstack([rows, np.hstack([own, own])])
-                yield pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 2]), pa.array(rows[:, 3].astype(np.int32))], names=["block", "c", "n"])
+                rows, times = np.unique(rows, axis=0, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1]), pa.array(rows[:, 2].astype(np.int32)), pa.array(times)], names=["block", "c", "n", "k"])
 
     lists = docs.select("text").mapInArrow(prefixes, "h long, n int, c long")
     lists = lists.repartition(F.col("h")).sortWithinPartitions("h", "c", "n")
-    met = lists.select("h", "c", "n").mapInArrow(meet, "block long, c long, n int").distinct()
-    # Within a block, whoever has no neighbour in size of the right ratio can't link to anyone there.
-    return met.selectExpr("*", "lag(n) OVER (PARTITION BY block ORDER BY n, c) AS less", "lead(n) OVER (PARTITION BY block ORDER BY n, c) AS more").filter(
-        f"100 * less >= {percent} * n OR 100 * n >= {percent} * more"
-    ).select("block", "c", "n")
+    met = lists.select("h", "c", "n").mapInArrow(meet, "block long, c long, n int, k long")
+    met = materialize(met.groupBy("block", "c", "n").agg(F.sum("k").alias("k")), f"{folder}/met")
+    # Sets of sizes n <= s that share m prefix n-grams overlap in m + needed(s) - 1 at most, as what
+    # stands behind the prefix of one can't all be shared; and m is at most the lists t that a class
+    # shares with any other. Who has no size in its block for which that could reach t goes.
+    lists_of = materialize(met.groupBy("c", "n").agg(F.sum("k").alias("t")), f"{folder}/shared_lists")
+    sizes = met.groupBy("block", "n").agg(F.count("*").alias("m")).groupBy("block").agg(F.collect_list(F.struct(F.col("n").alias("s"), "m")).alias("sizes"))
+    sizes = materialize(sizes, f"{folder}/sizes")
+    ratio = f"100 * least(n, x.s) >= {percent} * greatest(n, x.s)"
+    least = f"({percent} * (n + x.s) + {99 + percent}) div {100 + percent} - ({percent} * greatest(n, x.s) + 99) div 100 + 1"
+    fits = F.expr(f"exists(sizes, x -> {ratio} AND {least} <= t AND (x.s <> n OR x.m > 1))")
+    return met.join(lists_of.hint("merge"), ["c", "n"]).join(sizes.hint("merge"), "block").filter(fits).select("block", "c", "n")
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -252,8 +260,9 @@ def ngram_join(docs: DataFrame, folder: str, size: int = SHINGLE, percent: int =
     own = spans.keyed(docs)
     keys, levels = survey(own, size, folder)
     classes = materialize(keys.filter("n > 0").groupBy("c", "n").agg(F.min(F.struct("doc", "rid")).alias("first"), F.count("*").alias("copies")), f"{folder}/classes")
-    members = blocks(own, levels, size, percent).join(classes.select("c", "n", "first.*").hint("merge"), ["c", "n"])
+    members = blocks(own, levels, size, percent, folder).join(classes.select("c", "n", "first.*").hint("merge"), ["c", "n"])
     members = materialize(members, f"{folder}/members")
+    release_shuffles(docs.sparkSession)
     edges = materialize(multiply(own, members, size, percent, block_rows), f"{folder}/links")
     roots = components(edges, folder).withColumnRenamed("node", "c")
     placed = classes.join(roots.hint("merge"), "c", "left").select("c", "n", "copies", "first.doc", F.coalesce("root", "c").alias("root"))
