@@ -26,7 +26,7 @@ from shapelog.llm.components import components
 SHINGLE = 5
 #: Similarity as a percentage.
 PERCENT = 75
-#: Buckets of the document frequencies, 2**SKETCH_BITS: one byte each is broadcast, whatever the input.
+#: Buckets of the document frequencies, 2**SKETCH_BITS: four bytes each are broadcast, whatever the input.
 SKETCH_BITS = 20
 SKETCH_PARTS = 64
 #: Rows of a block that are multiplied at once; a larger block is a grid of such parts.
@@ -55,7 +55,11 @@ def class_of(found: np.ndarray) -> int:
 
 
 def survey(docs: DataFrame, size: int, folder: str) -> tuple[DataFrame, np.ndarray]:
-    """(doc, rid, n, c) of each document, and the level of frequency of each bucket of shingles."""
+    """(doc, rid, n, c) of each document, and how many shingles fall into each bucket.
+
+    A bucket's rare shingles add much the same to each, so the exact count still tells a shingle of
+    some tens of documents from one of a single document where the average bucket has hundreds.
+    """
     shift = np.uint64(64 - SKETCH_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,21 +84,20 @@ def survey(docs: DataFrame, size: int, folder: str) -> tuple[DataFrame, np.ndarr
         for batch in batches:
             for x in batch["part"]:
                 total += np.frombuffer(x.as_buffer(), np.int32)
-        level = (2 * np.log2(total + 1)).astype(np.uint8)
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), pa.array([level.tobytes()], pa.binary())], names=["c", "level"])
+        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["c", "total"])
 
     both = materialize(docs.select("doc", "rid", "text").mapInArrow(run, "doc long, rid long, n int, c long, part binary"), f"{folder}/survey")
-    rows = both.filter("n < 0").select("c", "part").groupBy("c").applyInArrow(add, "c long, level binary").collect()
-    levels = np.zeros(1 << SKETCH_BITS, np.uint8)
-    for row in rows:  # always SKETCH_PARTS rows, one byte a bucket
-        part = len(levels) // SKETCH_PARTS
-        levels[row.c * part : (row.c + 1) * part] = np.frombuffer(row.level, np.uint8)
-    return both.filter("n >= 0").select("doc", "rid", "n", "c"), levels
+    rows = both.filter("n < 0").select("c", "part").groupBy("c").applyInArrow(add, "c long, total binary").collect()
+    counts = np.zeros(1 << SKETCH_BITS, np.int64)
+    for row in rows:  # always SKETCH_PARTS rows, eight bytes a bucket
+        part = len(counts) // SKETCH_PARTS
+        counts[row.c * part : (row.c + 1) * part] = np.frombuffer(row.total, np.int64)
+    return both.filter("n >= 0").select("doc", "rid", "n", "c"), counts.clip(max=(1 << 32) - 1).astype(np.uint32)
 
 
-def blocks(docs: DataFrame, levels: np.ndarray, size: int, percent: int, folder: str) -> DataFrame:
+def blocks(docs: DataFrame, counts: np.ndarray, size: int, percent: int, folder: str) -> DataFrame:
     """(block, c, n): which classes meet in a prefix list, under the smallest class of the list."""
-    shared = docs.sparkSession.sparkContext.broadcast(levels)
+    shared = docs.sparkSession.sparkContext.broadcast(counts)
     shift = np.uint64(64 - SKETCH_BITS)
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -258,9 +261,9 @@ def ngram_join(docs: DataFrame, folder: str, size: int = SHINGLE, percent: int =
     after all numbers. Columns other than doc_id and text are ignored.
     """
     own = spans.keyed(docs)
-    keys, levels = survey(own, size, folder)
+    keys, counts = survey(own, size, folder)
     classes = materialize(keys.filter("n > 0").groupBy("c", "n").agg(F.min(F.struct("doc", "rid")).alias("first"), F.count("*").alias("copies")), f"{folder}/classes")
-    members = blocks(own, levels, size, percent, folder).join(classes.select("c", "n", "first.*").hint("merge"), ["c", "n"])
+    members = blocks(own, counts, size, percent, folder).join(classes.select("c", "n", "first.*").hint("merge"), ["c", "n"])
     members = materialize(members, f"{folder}/members")
     release_shuffles(docs.sparkSession)
     edges = materialize(multiply(own, members, size, percent, block_rows), f"{folder}/links")
