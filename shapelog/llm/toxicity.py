@@ -85,9 +85,10 @@ def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 0) -> Machine:
     base = float(np.log((positives + 0.5) / (n - positives + 0.5)))
     if not positives or positives == n:
         return Machine(place, base, np.zeros(1), np.zeros((1, FACTORS)))
-    flat, of = np.concatenate(rows), np.repeat(np.arange(n), [len(x) for x in rows])
-    total = np.bincount(flat, minlength=1 << BITS)
-    toxic = np.bincount(flat[labels[of] > 0], minlength=1 << BITS)
+    total, toxic = np.zeros(1 << BITS, np.int32), np.zeros(1 << BITS, np.int32)
+    for row, label in zip(rows, labels, strict=True):  # a row's buckets are distinct
+        total[row] += 1
+        toxic[row] += label > 0
     # The term's sign: how surely its odds differ from those of all rows, in standard errors.
     odds = np.log((toxic + 0.5) / (total - toxic + 0.5)) - base
     sure = np.abs(odds) / np.sqrt(1 / (toxic + 0.5) + 1 / (total - toxic + 0.5))
@@ -96,7 +97,8 @@ def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 0) -> Machine:
     chosen = chosen[sure[chosen] > SURE]
     place[chosen] = np.arange(1, len(chosen) + 1)
     x = np.zeros((n, len(chosen) + 1), np.float32)
-    x[of, place[flat]] = 1
+    for i, row in enumerate(rows):
+        x[i, place[row]] = 1
     x[:, 0] = 0
     rng = np.random.default_rng(seed)
     y = labels.astype(np.float32)
@@ -144,9 +146,8 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> Machine:
     kind = dict(rows.dtypes)["doc_id"]
     got = rows.mapInArrow(hashed, f"doc_id {kind}, terms array<int>, label int").toArrow().sort_by("doc_id")
     lists = got["terms"].combine_chunks()
-    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
     ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-    return train([flat[a:b].astype(np.int64) for a, b in zip(ends[:-1], ends[1:], strict=True)], got["label"].to_numpy())
+    return train([flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)], got["label"].to_numpy())
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
