@@ -38,11 +38,13 @@ def repeated_spans(docs: DataFrame, folder: str, window: int = WINDOW, k: int =
         .filter("first < last")
         .select("a", F.expr("d0 = d1").alias("single"), "first")
     )
+    # An aggregate right below a join would keep Spark from splitting a hot minimizer there.
+    shared = materialize(shared, f"{folder}/shared")
     cands = materialize(runs.join(shared.hint("merge"), "a"), f"{folder}/candidates")
     whole = cands.filter("single AND doc > first").selectExpr("doc", "rid", "lo", f"n + {window - 1} AS len")
 
     branching = cands.filter("NOT single").drop("first")
-    paths = branching.groupBy("a", "d").agg(F.min("doc").alias("first"))
+    paths = materialize(branching.groupBy("a", "d").agg(F.min("doc").alias("first")), f"{folder}/paths")
     known = materialize(branching.join(paths.hint("merge"), ["a", "d"]), f"{folder}/branching")
     later = known.filter("doc > first").selectExpr("doc", "rid", "lo", f"n + {window - 1} AS len")
 
@@ -69,6 +71,7 @@ def repeated_spans(docs: DataFrame, folder: str, window: int = WINDOW, k: int =
     edge = spans.with_text(docs.select("doc", "rid", "text"), heads, ["a", "lo", "n"]).mapInArrow(edges, "a long, e long, doc long, rid long, lo int")
     edge = materialize(edge, f"{folder}/edges")
     owner = edge.groupBy("a", "e").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last")
+    owner = materialize(owner, f"{folder}/owners")
     inner = edge.join(owner.hint("merge"), ["a", "e"]).filter("doc > first").selectExpr("doc", "rid", "lo", f"{window} AS len")
     return whole.unionByName(later).unionByName(inner)
 

@@ -115,6 +115,8 @@ def repeated_spans(docs: DataFrame, folder: str, window: int = WINDOW, k: int =
         .filter("times > 1")
         .select("a", F.expr("d0 = d1").alias("single"))
     )
+    # An aggregate right below a join would keep Spark from splitting a hot minimizer there.
+    shared = materialize(shared, f"{folder}/shared")
     cands = materialize(runs.join(shared.hint("merge"), "a"), f"{folder}/candidates")
     size = f"n + {window - 1} AS len"
     whole = cands.filter("single").selectExpr("doc", "rid", "lo", size)
@@ -127,7 +129,7 @@ def repeated_spans(docs: DataFrame, folder: str, window: int = WINDOW, k: int =
     copied = several.join(contexts.filter("times > 1").select("a", "d").hint("merge"), ["a", "d"], "left_semi")
     again = copied.selectExpr("doc", "rid", "lo", size)
 
-    groups = contexts.groupBy("a").agg((F.count("*") > group_limit).alias("wide"))
+    groups = materialize(contexts.groupBy("a").agg((F.count("*") > group_limit).alias("wide")), f"{folder}/groups")
     places = contexts.join(groups.hint("merge"), "a").select("a", "times", "wide", "place.*")
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
