@@ -16,7 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shapelog.llm import kernels, spans
@@ -31,6 +31,12 @@ SKETCH_BITS = 20
 SKETCH_PARTS = 64
 #: Rows of a block that are multiplied at once; a larger block is a grid of such parts.
 BLOCK_ROWS = 4096
+#: Lists go by the upper 48 bits of a shingle: two in one list only make more candidates.
+LIST_SHIFT = np.uint64(16)
+#: Sets travel as the upper SET_BYTES bytes of each shingle.
+SET_BYTES = 6
+#: Bits of the filter of texts whose sets are needed (4 MB are broadcast, whatever the input), 2**FILTER_BITS.
+FILTER_BITS = 25
 #: N-grams of one slice of the product.
 SLICE = 1 << 14
 
@@ -54,6 +60,16 @@ def class_of(found: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(found.tobytes()) - (1 << 63)
 
 
+def packed(found: np.ndarray) -> bytes:
+    return found.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 8 - SET_BYTES :].tobytes()
+
+
+def unpacked(content: bytes) -> np.ndarray:
+    out = np.zeros((len(content) // SET_BYTES, 8), np.uint8)
+    out[:, 8 - SET_BYTES :] = np.frombuffer(content, np.uint8).reshape(-1, SET_BYTES)
+    return out.view("<u8").ravel()
+
+
 def survey(docs: DataFrame, size: int, folder: str) -> tuple[DataFrame, np.ndarray]:
     """(doc, rid, n, c) of each document, and how many shingles fall into each bucket.
 
@@ -111,7 +127,7 @@ def blocks(docs: DataFrame, counts: np.ndarray, size: int, percent: int, folder:
                         continue
                     seen.add(own)
                     order = np.lexsort((found, shared.value[(found >> shift).astype(np.int64)]))
-                    h.append(found[order[: len(found) - needed(len(found), percent) + 1]])
+                    h.append(found[order[: len(found) - needed(len(found), percent) + 1]] >> LIST_SHIFT)
                     n.append(np.full(len(h[-1]), len(found), np.int32))
                     c.append(np.full(len(h[-1]), own))
                 if h:
@@ -144,14 +160,35 @@ def blocks(docs: DataFrame, counts: np.ndarray, size: int, percent: int, folder:
     met = materialize(met.groupBy("block", "c", "n").agg(F.sum("k").alias("k")), f"{folder}/met")
     # Sets of sizes n <= s that share m prefix n-grams overlap in m + needed(s) - 1 at most, as what
     # stands behind the prefix of one can't all be shared; and m is at most the lists t that a class
-    # shares with any other. Who has no size in its block for which that could reach t goes.
+    # shares with any other. Who has no size in its block for which t could reach that goes.
+    # Nor need a linked pair meet in every block: a class leaves its blocks with the fewest lists as
+    # long as those hold under half of what a link there takes in all. What either side leaves is then
+    # less than what both share, so they still meet in some block.
     lists_of = materialize(met.groupBy("c", "n").agg(F.sum("k").alias("t")), f"{folder}/shared_lists")
     sizes = met.groupBy("block", "n").agg(F.count("*").alias("m")).groupBy("block").agg(F.collect_list(F.struct(F.col("n").alias("s"), "m")).alias("sizes"))
     sizes = materialize(sizes, f"{folder}/sizes")
     ratio = f"100 * least(n, x.s) >= {percent} * greatest(n, x.s)"
     least = f"({percent} * (n + x.s) + {99 + percent}) div {100 + percent} - ({percent} * greatest(n, x.s) + 99) div 100 + 1"
-    fits = F.expr(f"exists(sizes, x -> {ratio} AND {least} <= t AND (x.s <> n OR x.m > 1))")
-    return met.join(lists_of.hint("merge"), ["c", "n"]).join(sizes.hint("merge"), "block").filter(fits).select("block", "c", "n")
+    fits = f"{ratio} AND {least} <= t AND (x.s <> n OR x.m > 1)"
+    takes = F.expr(f"array_min(transform(filter(sizes, x -> {fits}), x -> {least}))")  # null: nothing fits
+    fewest = Window.partitionBy("c", "n").orderBy("k", "block").rowsBetween(Window.unboundedPreceding, 0)
+    able = met.join(lists_of.hint("merge"), ["c", "n"]).join(sizes.hint("merge"), "block")
+    able = able.select("block", "c", "n", "k", takes.alias("takes")).filter("takes IS NOT NULL")
+    able = able.withColumn("left", F.sum("k").over(fewest)).filter("2 * left >= takes").select("block", "c", "n")
+    able = materialize(able, f"{folder}/able")
+    several = materialize(able.groupBy("block").count().filter("count > 1").select("block"), f"{folder}/several")
+    return able.join(several.hint("merge"), "block", "left_semi")
+
+
+def only(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """The documents that members name, and few others, by a filter of fixed size instead of a shuffle of all texts."""
+    slot = F.expr(f"pmod(xxhash64(doc, rid), {1 << FILTER_BITS}L)")
+    number, place = F.expr("bitmap_bucket_number(_slot)"), F.expr("bitmap_bit_position(_slot)")
+    bits = members.select(slot.alias("_slot")).groupBy(number.alias("_number")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(_slot))").alias("_bits"))
+    known = docs.withColumn("_slot", slot).withColumn("_number", number).withColumn("_place", place)
+    # A bucket is 4 KB for 32,768 bits, so the broadcast has 1 << FILTER_BITS bits at most.
+    byte = "CAST(conv(hex(substring(_bits, CAST(_place div 8 AS INT) + 1, 1)), 16, 10) AS INT)"
+    return known.join(F.broadcast(bits), "_number").filter(f"shiftright({byte}, CAST(_place % 8 AS INT)) % 2 = 1").select(docs.columns)
 
 
 def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -215,7 +252,7 @@ def multiply(docs: DataFrame, members: DataFrame, size: int, percent: int, block
             for batch in spans.slices(whole, "text"):
                 out: dict[str, list] = {x: [] for x in ("block", "i", "j", "part", "n", "c", "grams")}
                 for found, rows in zip(shingle_sets(batch["text"], size), batch["rows"].to_pylist(), strict=True):
-                    content = found.tobytes()
+                    content = packed(found)
                     for row in rows:
                         # A block of several parts is multiplied part by part: part i with part j >= i.
                         for other in range(row["parts"]):
@@ -229,7 +266,7 @@ def multiply(docs: DataFrame, members: DataFrame, size: int, percent: int, block
         def done(rows: list[tuple]) -> pa.RecordBatch:
             _, i, j = rows[0][:3]
             sides = [[x for x in rows if x[3] == p] for p in ((i,) if i == j else (i, j))]
-            sets = [[np.frombuffer(x[5], np.uint64) for x in side] for side in sides]
+            sets = [[unpacked(x[5]) for x in side] for side in sides]
             a, b = links(sets[0], sets[-1], i == j, percent)
             names = [np.array([x[4] for x in side], np.int64) for side in sides]
             found = forest(names[0][a], names[-1][b])
@@ -246,7 +283,7 @@ def multiply(docs: DataFrame, members: DataFrame, size: int, percent: int, block
         if held:
             yield done(held)
 
-    rows = spans.with_text(docs.select("doc", "rid", "text"), spread, ["block", "c", "n", "part", "parts"]).mapInArrow(incidence, "block long, i int, j int, part int, n int, c long, grams binary")
+    rows = spans.with_text(only(docs.select("doc", "rid", "text"), members), spread, ["block", "c", "n", "part", "parts"]).mapInArrow(incidence, "block long, i int, j int, part int, n int, c long, grams binary")
     rows = rows.repartition("block", "i", "j").sortWithinPartitions("block", "i", "j", "part", "n", "c")
     return rows.select("block", "i", "j", "part", "c", "grams").mapInArrow(product, "a long, b long")
 
