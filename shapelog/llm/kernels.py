@@ -3,6 +3,7 @@
 All functions work on the concatenated bytes of a batch of texts, so no Python loop runs per word.
 A hash only ever *proposes* that two spans are equal over 64 bits; the operators combine two
 independent 64-bit functions (a k-gram hash and an xxh3 digest) before they call spans equal.
+The n-gram join compares shingles by 48 bits of one hash; it states the chance of an error.
 """
 
 from __future__ import annotations

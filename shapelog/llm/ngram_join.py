@@ -7,6 +7,9 @@ prefix shingles form blocks (all lists with the same first class are one block),
 multiplies its incidence rows: overlap counts accumulate over slices of the n-grams, and pairs
 whose sizes or counts can't reach t are discarded. A block returns links enough to connect what is
 connected, not all pairs.
+
+Shingles are hashed to 64 bits, of which blocks compare the upper 48: unequal shingles of two sets of
+n and m count as equal with a chance of about n m / 2**48.
 """
 
 from __future__ import annotations
