@@ -239,6 +239,14 @@ def document_severity(spark, sf_dir):
     return docs.select("doc_id", profile.extract_severity(F.col("text")).alias("severity"))
 
 
+@query("document_severity_all", r"""WITH l AS (SELECT doc_id, lower(coalesce(nullif(regexp_extract(text, '(?:^|[^\p{L}\p{N}_])[0-9]+[\t-\r ]+[0-9]+[\t-\r ]+([VDIWEF])[\t-\r ]+[0-9A-Za-z_.$]+:', 1), ''),
+  regexp_extract(text, '(?i)(?:^|[^\p{L}\p{N}_])(TRACE|DEBUG|INFO|NOTICE|WARN(?:ING)?|ERR(?:OR)?|CRIT(?:ICAL)?|ALERT|EMERG(?:ENCY)?|FATAL)(?:$|[^\p{L}\p{N}_])', 1))) AS w FROM documents)
+SELECT doc_id, CASE WHEN w IN ('trace', 'debug', 'd', 'v') THEN 'debug' WHEN w IN ('info', 'notice', 'i') THEN 'info' WHEN w IN ('warn', 'warning', 'w') THEN 'warning' WHEN w IN ('err', 'error', 'e') THEN 'error' WHEN w <> '' THEN 'critical' END AS severity FROM l""")
+def document_severity_all(spark, sf_dir):
+    """Of every document, whatever its characters; a null text has no severity."""
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", profile.extract_severity(F.col("text")).alias("severity"))
+
+
 @query("process_tag", "SELECT event_id, CASE event_id % 3 WHEN 0 THEN 'sshd' WHEN 1 THEN 'su' END AS process, CASE WHEN event_id % 3 < 2 THEN CAST(event_id AS VARCHAR) END AS pid FROM events")
 def process_tag(spark, sf_dir):
     name, pid = profile.extract_process(F.expr("CASE event_id % 3 WHEN 0 THEN concat('x sshd[', event_id, ']: hi') WHEN 1 THEN concat('su(pam_unix)[', event_id, ']: hi') ELSE 'no [1] tag' END"))
