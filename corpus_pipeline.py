@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shapelog.llm import bpe, decontaminate, exact_dedup, ngram_join, toxicity
+from shapelog.llm import bpe, decontaminate, exact_dedup, ngram_join, spans, toxicity
 from shapelog.llm.common import materialize, table, work_dir
 
 
@@ -34,19 +34,28 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the smallest doc_id stays."""
+    """Of each group of near copies the row with the smallest doc_id stays, then the smallest hash of its text.
+
+    A null doc_id ranks after all numbers. Of rows that repeat both doc_id and text one stays, unless
+    the text has no words: such texts are near copies of nothing.
+    """
     found = ngram_join.ngram_join(docs, work_dir(spark))
-    kept = found.filter("doc_id <=> component_id").selectExpr("doc_id AS _id", "rid AS _rid").distinct()
-    rows = docs.withColumn("_text", F.xxhash64(F.coalesce("text", F.lit(""))))
-    same = rows._text.eqNullSafe(kept._rid) & rows.doc_id.eqNullSafe(kept._id)
-    return rows.join(kept.hint("shuffle_hash"), same, "left_semi").select(*docs.columns)
+    first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("rid") == F.col("first_rid"))
+    kept = found.filter(first).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(spans.LAST_ID)).alias("_id"), "rid", F.col("n_shingles").alias("_n")).withColumnRenamed("rid", "_rid").distinct()
+    rows = docs.withColumns({"_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(spans.LAST_ID)), "_text": F.xxhash64(F.coalesce("text", F.lit("")))})
+    joined = rows.join(kept.hint("shuffle_hash"), (rows._doc == kept._id) & (rows._text == kept._rid))
+    place = F.row_number().over(Window.partitionBy("_doc", "_text").orderBy("doc_id"))
+    return joined.withColumn("_place", place).filter("_place = 1 OR _n = 0").select(*docs.columns)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any window of a benchmark item stay."""
-    found = decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), work_dir(spark))
-    hit = found.filter("contaminated").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(hit.hint("shuffle_hash"), docs.doc_id.eqNullSafe(hit._id), "left_anti").select(*docs.columns)
+    """Documents without any window of a benchmark item stay; each text of a null or repeated doc_id is judged by itself."""
+    row = F.struct("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("rid"))
+    found = decontaminate.decontaminate(docs.select(row.alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"), work_dir(spark))
+    hit = found.filter("contaminated").select(F.col("doc_id.doc_id").alias("_id"), F.col("doc_id.rid").alias("_rid")).distinct()
+    rows = docs.withColumn("_text", F.xxhash64(F.coalesce("text", F.lit(""))))
+    same = rows.doc_id.eqNullSafe(hit._id) & (rows._text == hit._rid)
+    return rows.join(hit.hint("shuffle_hash"), same, "left_anti").select(*docs.columns)
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

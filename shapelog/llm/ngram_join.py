@@ -292,7 +292,8 @@ def multiply(docs: DataFrame, members: DataFrame, size: int, percent: int, block
 
 
 def ngram_join(docs: DataFrame, folder: str, size: int = SHINGLE, percent: int = PERCENT, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, and rid (xxhash64 of the text).
+    """One row per document: doc_id, n_shingles, component_id, rid (xxhash64 of the text), and
+    first_rid (rid of the component's first row, by doc_id and rid).
 
     Words are split at ASCII white space, A-Z as a-z. Two documents link if 100 * intersection >=
     percent * union of their sets of `size`-word shingles; component_id is the smallest doc_id
@@ -308,26 +309,27 @@ def ngram_join(docs: DataFrame, folder: str, size: int = SHINGLE, percent: int =
     release_shuffles(docs.sparkSession)
     edges = materialize(multiply(own, members, size, percent, block_rows), f"{folder}/links")
     roots = components(edges, folder).withColumnRenamed("node", "c")
-    placed = classes.join(roots.hint("merge"), "c", "left").select("c", "n", "copies", "first.doc", F.coalesce("root", "c").alias("root"))
-    least = placed.groupBy("root").agg(F.min("doc").alias("component"))
-    named = materialize(placed.join(least.hint("merge"), "root").select("c", "n", "copies", "component"), f"{folder}/components")
+    placed = classes.join(roots.hint("merge"), "c", "left").select("c", "n", "copies", "first", F.coalesce("root", "c").alias("root"))
+    least = placed.groupBy("root").agg(F.min("first").alias("least")).selectExpr("root", "least.doc AS component", "least.rid AS first_rid")
+    named = materialize(placed.join(least.hint("merge"), "root").select("c", "n", "copies", "component", "first_rid"), f"{folder}/components")
     total = keys.count()
     heavy = named.filter(F.col("copies") * HEAVY_SHARE > total).drop("copies")  # at most HEAVY_SHARE classes
     light = named.filter(F.col("copies") * HEAVY_SHARE <= total).drop("copies")
     some = keys.filter("n > 0")
     joined = some.join(F.broadcast(heavy), ["c", "n"]).unionByName(some.join(F.broadcast(heavy.select("c", "n")), ["c", "n"], "left_anti").join(light.hint("merge"), ["c", "n"]))
-    result = joined.unionByName(keys.filter("n = 0").withColumn("component", F.col("doc")))
+    result = joined.unionByName(keys.filter("n = 0").withColumns({"component": F.col("doc"), "first_rid": F.col("rid")}))
     kind = dict(docs.dtypes)["doc_id"]
     return result.select(
         F.when(F.col("doc") < spans.LAST_ID, F.col("doc")).cast(kind).alias("doc_id"),
         F.col("n").cast("long").alias("n_shingles"),
         F.when(F.col("component") < spans.LAST_ID, F.col("component")).cast(kind).alias("component_id"),
         "rid",
+        "first_rid",
     )
 
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join(table(spark, sf_dir, "documents"), work_dir(spark)).drop("rid")
+    return ngram_join(table(spark, sf_dir, "documents"), work_dir(spark)).drop("rid", "first_rid")
 
 
 SQL = r"""

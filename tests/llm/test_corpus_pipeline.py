@@ -131,3 +131,17 @@ def test_run(spark, folder):
 def test_run_on_empty_tables(spark, tmp_path):
     write(spark, tmp_path, [], [], [])
     assert pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_null_and_repeated_ids(spark, folder):
+    """Near copies with one repeated id or null ids only leave one row; a contaminated row takes no other with it."""
+    base, other, third = (small.text(80, s) for s in (70, 71, 72))
+    edited = lambda t, w: " ".join([*t.split()[:-1], w])
+    groups = [[(5, base), (5, edited(base, "x"))], [(None, other), (None, edited(other, "x")), (None, edited(other, "y"))], [(5, third), (9, third)], [(5, third + " " + small.text(80, 73))]]
+    alone = [(5, None), (5, ""), (None, " "), (None, " ")]
+    found = pipeline.ngram_join_stage(spark, table(spark, [*(d for g in groups for d in g), (5, base), (9, third), *alone]).repartition(3), folder)
+    rows = [(r.doc_id, r.text) for r in found.collect()]
+    assert [sum(r in g for r in rows) for g in groups] == [1, 1, 1, 1] and (5, third) in rows and order(r for r in rows if not (r[1] or "").strip()) == order(alone)
+    docs = [(5, small.PASSAGE), (5, base), (None, "a " + small.PASSAGE), (None, other), (None, None), (5, base), (6, third)]
+    found = pipeline.decontaminate_stage(spark, table(spark, docs).repartition(3), folder)
+    assert order((r.doc_id, r.text) for r in found.collect()) == order(clean(docs)) and len(clean(docs)) == 5
