@@ -23,10 +23,8 @@ TAPS, FILTERS, HIDDEN = 5, 8, 12
 BLOCK, CHUNK_BLOCKS = 64, 8
 #: At most so many labelled rows train the network: those with the smallest hash of their doc_id.
 TRAIN_ROWS = 3000
-#: Of a training row, so many blocks in sequence (from a random place) are seen in one epoch.
-TRAIN_BLOCKS = 192
 EPOCHS = 8
-#: Bytes convolved at once.
+#: Bytes convolved at once, and bytes of training texts whose gradients are computed at once (one text at least).
 PIECE = 1 << 17
 
 Weights = dict[str, np.ndarray]
@@ -105,17 +103,35 @@ def probabilities(raw: np.ndarray, offsets: np.ndarray, w: Weights) -> np.ndarra
 
 
 def gradients(texts: list[bytes], labels: np.ndarray, w: Weights) -> Weights:
-    """Of the mean log loss. Through the pooling, only the winning position of each chunk and filter counts."""
+    """Of the mean log loss over whole texts, summed over groups of texts that bound memory."""
+    ends = np.cumsum([len(x) for x in texts]) // PIECE
+    parts = np.split(np.arange(len(texts)), np.flatnonzero(np.diff(ends)) + 1)
+    found = [_gradients([texts[i] for i in part], labels[part], w, len(texts)) for part in parts]
+    return {k: sum(g[k] for g in found) for k in found[0]}
+
+
+def winners(buffer: np.ndarray, begins: np.ndarray, blocks: np.ndarray, filters: np.ndarray, conv: np.ndarray) -> np.ndarray:
+    """The first byte of each of these blocks at which its filter is largest."""
+    limits, out = np.append(begins, len(buffer) - TAPS), np.empty(len(blocks), np.int64)
+    for i in range(0, len(blocks), PIECE // BLOCK):
+        b, f = blocks[i : i + PIECE // BLOCK], filters[i : i + PIECE // BLOCK, None]
+        at = limits[b][:, None] + np.arange(BLOCK + TAPS)
+        total = sum(conv[t, buffer[np.minimum(at + t, len(buffer) - 1)], f] for t in range(TAPS))
+        total[at >= limits[b + 1][:, None]] = -np.inf
+        out[i : i + PIECE // BLOCK] = limits[b] + total.argmax(1)
+    return out
+
+
+def _gradients(texts: list[bytes], labels: np.ndarray, w: Weights, n: int) -> Weights:
+    """Of these texts' share of the mean over n. Through the pooling, only the winning position of each chunk and filter counts."""
     raw = np.frombuffer(b"".join(texts), np.uint8)
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in texts])]).astype(np.int64)
     buffer, begins, first = layout(raw, offsets)
     begin, last, own = chunks(first)
-    limits = np.append(begins, len(buffer) - TAPS)
-    total = sum(np.take(w["conv"][t], buffer[t : len(buffer) - TAPS + t], axis=0) for t in range(TAPS))
-    maxima = np.maximum.reduceat(total, begins, axis=0)
+    maxima = block_maxima(buffer, begins, w["conv"])
     pooled = pool(maxima, begin, last)
     seen, hidden, mean, most, out = head(pooled, own, w)
-    n, count = len(texts), np.diff(own)
+    count = np.diff(own)
     error = (sigmoid(out) - labels).astype(np.float32) / n
     grad = {"out": np.hstack([mean, most]).T @ error, "out0": error.sum(keepdims=True)}
     up = np.repeat(error, count)[:, None] * w["out"]
@@ -126,10 +142,14 @@ def gradients(texts: list[bytes], labels: np.ndarray, w: Weights) -> Weights:
     back = (inner @ w["in"].T) * (pooled + w["bias"] > 0)
     grad["bias"] = back.sum(0)
     conv = np.zeros_like(w["conv"])
-    for c, f in zip(*np.nonzero(back), strict=True):
-        b = begin[c] + int(np.argmax(maxima[begin[c] : last[c] + 1, f]))
-        p = limits[b] + int(np.argmax(total[limits[b] : limits[b + 1], f]))
-        conv[np.arange(TAPS), buffer[p : p + TAPS], f] += back[c, f]
+    c, f = np.nonzero(back)
+    best = begin[c]
+    for i in range(1, CHUNK_BLOCKS):
+        other = np.minimum(begin[c] + i, last[c])
+        best = np.where(maxima[other, f] > maxima[best, f], other, best)
+    at = winners(buffer, begins, best, f, w["conv"])
+    for t in range(TAPS):
+        np.add.at(conv[t], (buffer[at + t], f), back[c, f])
     grad["conv"] = conv
     return grad
 
@@ -138,16 +158,13 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 0, epochs: int = E
     """Fit by Adam. Without rows the network is as it starts."""
     w, rng = start(seed), np.random.default_rng(seed)
     first, second = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
-    step, batch, reach = 0, 32, TRAIN_BLOCKS * BLOCK
+    step, batch = 0, 32
     total = epochs * max(1, -(-len(texts) // batch))
     for _ in range(epochs):
         order = rng.permutation(len(texts))
         for i in range(0, len(texts), batch):
             step += 1
-            part = []
-            for j in order[i : i + batch]:
-                a = int(rng.integers(0, max(1, len(texts[j]) - reach + 1)))
-                part.append(texts[j][a : a + reach])
+            part = [texts[j] for j in order[i : i + batch]]
             grad = gradients(part, labels[order[i : i + batch]], w)
             rate = 0.02 * (1 - step / (total + 1))
             for k, g in grad.items():
