@@ -58,10 +58,12 @@ class Leaf:
         return best
 
 
-def with_leaf(lines: DataFrame) -> DataFrame:
+def with_leaf(lines: DataFrame, wordless: bool = False) -> DataFrame:
+    """Words and leaf of each line; lines of separators only have no words, and go unless wordless is set."""
     first = F.try_element_at("words", F.lit(1))
     leaf = F.concat_ws(" ", F.size("words"), F.when(F.size("words") > 1, F.when(first.rlike(r"\d"), ANY).otherwise(first)))
-    return lines.withColumn("words", line_tokens(F.col("raw"))).filter("size(words) > 0").withColumn("leaf", leaf)
+    rows = lines.withColumn("words", line_tokens(F.col("raw")))
+    return (rows if wordless else rows.filter("size(words) > 0")).withColumn("leaf", leaf)
 
 
 def train(lines: DataFrame, similarity: float = SIMILARITY, salts: int = 1) -> DataFrame:
@@ -104,7 +106,10 @@ def train(lines: DataFrame, similarity: float = SIMILARITY, salts: int = 1) -> D
 
 
 def mine_online(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Each line with the template as it stood right after the line, as a one-pass miner reports it."""
+    """Each line with the template as it stood right after the line, as a one-pass miner reports it.
+
+    A line without words is its own template, the empty text of size 1, as `match` has it.
+    """
     out = "source_path string, source_name string, line_number bigint, raw string, template string, tokens array<string>, cluster_size bigint"
 
     def mine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -114,11 +119,11 @@ def mine_online(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
             for source, place, words, raw, path, number in batch[["source_name", "leaf", "words", "raw", "source_path", "line_number"]].itertuples(index=False, name=None):
                 if (source, place) != key:
                     key, leaf = (source, place), Leaf(similarity)
-                c = leaf.add(list(words), 1, ())
+                c = leaf.add(list(words), 1, ()) if len(words) else {"tokens": [], "size": 1}
                 rows.append((path, source, number, raw, " ".join(c["tokens"]), list(c["tokens"]), c["size"]))
             yield pd.DataFrame(rows, columns=[x.split()[0] for x in out.split(", ")])
 
-    dealt = with_leaf(lines).repartition("source_name", "leaf").sortWithinPartitions("source_name", "leaf", "source_path", "line_number")
+    dealt = with_leaf(lines, wordless=True).repartition("source_name", "leaf").sortWithinPartitions("source_name", "leaf", "source_path", "line_number")
     return with_variables(dealt.mapInPandas(mine, out), F.col("tokens")).drop("tokens").withColumn("learned", F.lit(False))
 
 
