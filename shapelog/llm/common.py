@@ -8,29 +8,46 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: A key that holds more than one in HEAVY_SHARE rows is heavy, so at most HEAVY_SHARE keys are.
 HEAVY_SHARE = 1000
 
 _made: list[tuple[SparkSession, str]] = []
+_tables: list[tuple[SparkSession, str]] = []
 
 
 def work_dir(spark: SparkSession) -> str:
     """A new folder under spark.checkpoint.dir, which driver and executors share.
 
-    Only where that setting is absent, as in tests, a folder of this machine is used. The folder
-    is removed when the driver's Python ends, since lazy results may read it until then.
+    Only where that setting is absent on a local master, as in tests, a folder of this machine is
+    used; a cluster without the setting is an error. The folder is removed when the driver's Python
+    ends, since lazy results may read it until then.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = f"file://{tempfile.gettempdir()}/shapelog-checkpoints"
     path = f"{base.rstrip('/')}/shapelog-{uuid.uuid4().hex}"
     _made.append((spark, path))
     return path
 
 
+def drop_at_end(spark: SparkSession, name: str) -> None:
+    """Take a table of the catalog, whose data lies in a work folder, out of it with that folder."""
+    _tables.append((spark, name))
+
+
 @atexit.register
 def _clean() -> None:
+    for spark, name in _tables:
+        if spark._jvm is None or spark.sparkContext._jsc is None:
+            continue
+        try:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        except Exception:  # the JVM may be gone already
+            return
     for spark, path in _made:
         if spark._jvm is None or spark.sparkContext._jsc is None:
             continue
@@ -47,6 +64,19 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def join_keyed(rows: DataFrame, keyed: DataFrame, on: list[str], weight: str, how: str = "inner") -> DataFrame:
+    """rows joined with `keyed`, a written table of one row per key and the number of its rows (`weight`).
+
+    Keys of over 1/HEAVY_SHARE of the rows each are at most HEAVY_SHARE: those are broadcast, so that
+    no task gets all rows of one of them; the others meet by a sort-merge join. `rows` should be a
+    written table too, as it is read twice. The weight is not in the result. how: inner or left_semi.
+    """
+    total = keyed.agg(F.sum(weight)).first()[0] or 0
+    heavy, light = (keyed.filter(F.col(weight) * HEAVY_SHARE > total).drop(weight), keyed.filter(F.col(weight) * HEAVY_SHARE <= total).drop(weight))
+    few = rows.join(F.broadcast(heavy.select(on)), on, "left_anti")
+    return rows.join(F.broadcast(heavy), on, how).unionByName(few.join(light.hint("merge"), on, how))
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Let go of the shuffle files of tables that are written already.
 

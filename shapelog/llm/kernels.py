@@ -1,9 +1,9 @@
-"""Numpy kernels over Arrow string buffers: word boundaries, rolling hashes and window minimizers.
+"""Numpy kernels over Arrow string buffers: word boundaries, hashes and window minimizers.
 
 All functions work on the concatenated bytes of a batch of texts, so no Python loop runs per word.
-A hash only ever *proposes* that two spans are equal over 64 bits; the operators combine two
-independent 64-bit functions (a k-gram hash and an xxh3 digest) before they call spans equal.
-The n-gram join compares shingles by 48 bits of one hash; it states the chance of an error.
+A hash only ever *proposes* that two spans are equal; op6 and op8 compare a cryptographic digest of
+the spans' own bytes (see `spans`) before they call them equal. The n-gram join compares shingles by
+64 bits and states the chance of an error.
 """
 
 from __future__ import annotations
@@ -22,7 +22,8 @@ FOLDED_VALUES = BYTE_VALUES.copy()
 FOLDED_VALUES[65:91] = BYTE_VALUES[97:123]
 #: Odd multipliers of the doubling steps of `grams`.
 STEPS = _rng.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-BASE = 0x9E3779B97F4A7C15 | 1
+#: What a byte's place in its word adds to its value before both are mixed.
+PLACE = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes that words are made of: all but ASCII white space.
 NOT_SPACE = np.ones(256, dtype=bool)
 NOT_SPACE[[32, *range(9, 14)]] = False
@@ -30,20 +31,6 @@ NOT_SPACE[[32, *range(9, 14)]] = False
 WORD_BYTES = np.zeros(256, dtype=bool)
 WORD_BYTES[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 
-_powers: dict[str, np.ndarray] = {}
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The first n powers of BASE and of its inverse modulo 2**64."""
-    if len(_powers.get("up", ())) < n:
-        n = max(n, 1 << 16)
-        for name, base in (("up", BASE), ("down", pow(BASE, -1, 1 << 64))):
-            p = np.full(n, np.uint64(base))
-            p[0] = 1
-            _powers[name] = np.multiply.accumulate(p)
-    return _powers["up"], _powers["down"]
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective finalizer of 64-bit values."""
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
@@ -83,22 +70,38 @@ def words(raw: np.ndarray, offsets: np.ndarray, of: np.ndarray = NOT_SPACE) -> t
 
 
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = BYTE_VALUES) -> np.ndarray:
-    """A 64-bit hash of each word's bytes that does not depend on where the word stands."""
+    """A 64-bit hash of each word's bytes that does not depend on where the word stands.
+
+    Byte and place in the word are mixed before they are added up, so no arrangement of bytes cancels
+    out whatever the values are, as it does in a polynomial modulo 2**64.
+    """
     out = np.empty(len(starts), np.uint64)
     i = 0
-    while i < len(starts):  # by pieces, so that the tables of powers stay small
+    while i < len(starts):  # by pieces, so that the arrays of eight bytes a byte stay small
         j = max(i + 1, int(np.searchsorted(ends, starts[i] + SEGMENT, "right")))
         lo, hi = starts[i], ends[j - 1]
-        up, down = powers(hi - lo + 1)
+        s, e = starts[i:j] - lo, ends[i:j] - lo
+        size = np.diff(s, append=hi - lo)
+        place = (np.arange(hi - lo) - np.repeat(s, size)).astype(np.uint64)
         sums = np.empty(hi - lo + 1, np.uint64)
         sums[0] = 0
-        np.cumsum(values[raw[lo:hi]] * up[: hi - lo], out=sums[1:])
-        s, e = starts[i:j] - lo, ends[i:j] - lo
-        out[i:j] = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64))
+        np.cumsum(mix(values[raw[lo:hi]] + place * PLACE), out=sums[1:])
+        out[i:j] = mix(sums[e] - sums[s] + (e - s).astype(np.uint64) * STEPS[63])
         i = j
     return out
 
 
+def joined(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words with one space after each, and where each starts and ends there."""
+    size = ends - starts
+    stops = np.cumsum(size + 1)
+    begin = stops - size - 1
+    out = np.full(int(stops[-1]) if len(stops) else 0, 32, np.uint8)
+    number = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    out[number + np.repeat(begin, size)] = raw[number + np.repeat(starts, size)]
+    return out, begin, begin + size
+
+
 def grams(values: np.ndarray, k: int) -> np.ndarray:
     """Hashes of all k-grams of a sequence of hashed tokens; fewer than k tokens give none."""
     n = len(values) - k + 1

@@ -4,12 +4,13 @@ Documents with the same set of shingles are one class, one row of the matrix. A
 with similarity t shares one of the ceil-free prefixes n - ceil(t n) + 1 of its sets, in any one
 order of all shingles; the order is by rarity, so common passages come last. The lists of equal
 prefix shingles form blocks (all lists with the same first class are one block), and each block
-multiplies its incidence rows: overlap counts accumulate over slices of the n-grams, and pairs
-whose sizes or counts can't reach t are discarded. A block returns links enough to connect what is
+multiplies its incidence rows, sorted by size: only pairs whose sizes allow t are multiplied, overlap
+counts accumulate over slices of the n-grams, and after each slice pairs go that what is left of both
+sets can't bring to t. A block returns links enough to connect what is
 connected, not all pairs.
 
-Shingles are hashed to 64 bits, of which blocks compare the upper 48: unequal shingles of two sets of
-n and m count as equal with a chance of about n m / 2**48.
+Shingles are compared by 64 bits, hashed from words whose bytes are mixed with their places: unequal
+shingles of two sets of n and m count as equal with a chance of about n m / 2**64.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shapelog.llm import kernels, spans
-from shapelog.llm.common import HEAVY_SHARE, materialize, release_shuffles, table, work_dir
+from shapelog.llm.common import join_keyed, materialize, release_shuffles, table, work_dir
 from shapelog.llm.components import components
 
 SHINGLE = 5
@@ -36,8 +37,8 @@ SKETCH_PARTS = 64
 BLOCK_ROWS = 4096
 #: Lists go by the upper 48 bits of a shingle: two in one list only make more candidates.
 LIST_SHIFT = np.uint64(16)
-#: Sets travel as the upper SET_BYTES bytes of each shingle.
-SET_BYTES = 6
+#: Shingles of the sets of one part of a block, on average, at most (a part holds one set at least).
+PART_SHINGLES = 1 << 23
 #: Bits of the filter of texts whose sets are needed (4 MB are broadcast, whatever the input), 2**FILTER_BITS.
 FILTER_BITS = 25
 #: N-grams of one slice of the product.
@@ -63,16 +64,6 @@ def class_of(found: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(found.tobytes()) - (1 << 63)
 
 
-def packed(found: np.ndarray) -> bytes:
-    return found.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 8 - SET_BYTES :].tobytes()
-
-
-def unpacked(content: bytes) -> np.ndarray:
-    out = np.zeros((len(content) // SET_BYTES, 8), np.uint8)
-    out[:, 8 - SET_BYTES :] = np.frombuffer(content, np.uint8).reshape(-1, SET_BYTES)
-    return out.view("<u8").ravel()
-
-
 def survey(docs: DataFrame, size: int, folder: str) -> tuple[DataFrame, np.ndarray]:
     """(doc, rid, n, c) of each document, and how many shingles fall into each bucket.
 
@@ -194,38 +185,55 @@ def only(docs: DataFrame, members: DataFrame) -> DataFrame:
     return known.join(F.broadcast(bits), "_number").filter(f"shiftright({byte}, CAST(_place % 8 AS INT)) % 2 = 1").select(docs.columns)
 
 
-def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """The product of two incidence matrices, as bits, over slices of the n-grams that both sides or two rows have."""
-    every = np.concatenate([*left, *right])
-    row = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in (*left, *right)])
-    gram, inverse, times = np.unique(every, return_inverse=True, return_counts=True)
+def incidence_slices(sets: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Of each SLICE of the n-grams that two sets have: rows of bits, and how many of each set's n-grams are still to come."""
+    row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, inverse, times = np.unique(np.concatenate([*sets, np.zeros(0, np.uint64)]), return_inverse=True, return_counts=True)
     place = np.cumsum(times > 1) - 1
     used = times[inverse] > 1
     row, column = row[used], place[inverse[used]]
-    out = np.zeros((len(left), len(right)), np.int32)
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
-    for lo in range(0, int(place[-1]) + 1 if len(place) else 0, SLICE):
+    rest = np.bincount(row, minlength=len(sets))
+    for lo in range(0, int(column[-1]) + 1 if len(column) else 0, SLICE):
         a, b = np.searchsorted(column, [lo, lo + SLICE])
-        bits = np.zeros((len(left) + len(right), SLICE // 8), np.uint8)
+        bits = np.zeros((len(sets), SLICE // 8), np.uint8)
         at = column[a:b] - lo
         np.bitwise_or.at(bits, (row[a:b], at >> 3), (1 << (at & 7)).astype(np.uint8))
-        words = bits.view(np.uint64)
-        filled = max(1, -(-(min(SLICE, int(place[-1]) + 1 - lo)) // 64))
-        mine, other = words[: len(left), :filled], words[len(left) :, :filled]
-        for i in np.flatnonzero(mine.any(axis=1)):
-            out[i] += np.bitwise_count(mine[i] & other).sum(axis=1, dtype=np.int32)
-    return out
-
-
-def links(left: list[np.ndarray], right: list[np.ndarray], same: bool, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows with 100 * intersection >= percent * union."""
-    n, m = (np.array([len(x) for x in side], np.int64) for side in (left, right))
-    shared = overlaps(left, right).astype(np.int64)
-    linked = 100 * shared >= percent * (n[:, None] + m[None, :] - shared)
-    if same:
-        linked = np.triu(linked, 1)
-    return np.nonzero(linked)
+        rest = rest - np.bincount(row[a:b], minlength=len(sets))
+        yield bits.view(np.uint64)[:, : -(-(int(at[-1]) + 1) // 64)], rest
+
+
+def links(left: list[np.ndarray], right: list[np.ndarray] | None, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows with 100 * intersection >= percent * union; right None: pairs i < j of one side, by size."""
+    n = np.array([len(x) for x in left], np.int64)
+    m = n if right is None else np.array([len(x) for x in right], np.int64)
+    by_n, by_m = np.argsort(n, kind="stable"), np.argsort(m, kind="stable")
+    n, m = n[by_n], m[by_m]
+    # Of each row the columns whose size allows it, as one range.
+    first = np.searchsorted(m, needed(n, percent))
+    last = np.searchsorted(m, 100 * n // percent, "right")
+    if right is None:
+        first = np.maximum(first, np.arange(len(n)) + 1)
+    shared = [np.zeros(max(0, b - a), np.int32) for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+    sets = [left[i] for i in by_n] + ([] if right is None else [right[j] for j in by_m])
+    todo = np.flatnonzero(last > first).tolist()
+    for bits, rest in incidence_slices(sets):
+        mine, other, ahead = bits[: len(n)], bits[-len(m) :], rest[-len(m) :]
+        still = []
+        for i in todo:
+            a, b = int(first[i]), int(last[i])
+            if mine[i].any():
+                shared[i] += np.bitwise_count(mine[i] & other[a:b]).sum(axis=1, dtype=np.int32)
+            reach = np.flatnonzero((100 + percent) * (shared[i] + np.minimum(rest[i], ahead[a:b])) >= percent * (n[i] + m[a:b]))
+            if len(reach):  # columns at both ends that can't link go
+                first[i], last[i], shared[i] = a + reach[0], a + reach[-1] + 1, shared[i][reach[0] : reach[-1] + 1]
+                still.append(i)
+        todo = still
+    found = [(i, first[i] + np.flatnonzero((100 + percent) * shared[i].astype(np.int64) >= percent * (n[i] + m[first[i] : last[i]]))) for i in todo]
+    a = np.concatenate([np.full(len(j), i) for i, j in found] or [np.zeros(0, np.int64)]).astype(np.int64)
+    b = np.concatenate([j for _, j in found] or [np.zeros(0, np.int64)]).astype(np.int64)
+    return by_n[a], by_m[b]
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
@@ -245,17 +253,19 @@ def forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return [(find(x), x) for x in parent if find(x) != x]
 
 
-def multiply(docs: DataFrame, members: DataFrame, size: int, percent: int, block_rows: int) -> DataFrame:
+def multiply(docs: DataFrame, members: DataFrame, size: int, percent: int, block_rows: int, folder: str) -> DataFrame:
     """(a, b): links between classes, a forest of each block. members: block, c, n, doc, rid."""
-    sizes = members.groupBy("block").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("parts"))
-    spread = members.join(sizes.hint("merge"), "block").withColumn("part", F.expr("CAST(pmod(xxhash64(c, n), parts) AS INT)"))
+    # A block of many or of long sets is a grid of parts.
+    parts = F.ceil(F.greatest(F.count("*") / block_rows, F.sum("n") / PART_SHINGLES)).cast("int")
+    sizes = materialize(members.groupBy("block").agg(F.count("*").alias("m"), parts.alias("parts")), f"{folder}/parts")
+    spread = join_keyed(members, sizes, ["block"], "m").withColumn("part", F.expr("CAST(pmod(xxhash64(c, n), parts) AS INT)"))
 
     def incidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in spans.slices(whole, "text"):
                 out: dict[str, list] = {x: [] for x in ("block", "i", "j", "part", "n", "c", "grams")}
                 for found, rows in zip(shingle_sets(batch["text"], size), batch["rows"].to_pylist(), strict=True):
-                    content = packed(found)
+                    content = found.tobytes()
                     for row in rows:
                         # A block of several parts is multiplied part by part: part i with part j >= i.
                         for other in range(row["parts"]):
@@ -269,8 +279,8 @@ def multiply(docs: DataFrame, members: DataFrame, size: int, percent: int, block
         def done(rows: list[tuple]) -> pa.RecordBatch:
             _, i, j = rows[0][:3]
             sides = [[x for x in rows if x[3] == p] for p in ((i,) if i == j else (i, j))]
-            sets = [[unpacked(x[5]) for x in side] for side in sides]
-            a, b = links(sets[0], sets[-1], i == j, percent)
+            sets = [[np.frombuffer(x[5], np.uint64) for x in side] for side in sides]
+            a, b = links(sets[0], sets[1] if i != j else None, percent)
             names = [np.array([x[4] for x in side], np.int64) for side in sides]
             found = forest(names[0][a], names[-1][b])
             return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
@@ -307,16 +317,14 @@ def ngram_join(docs: DataFrame, folder: str, size: int = SHINGLE, percent: int =
     members = blocks(own, counts, size, percent, folder).join(classes.select("c", "n", "first.*").hint("merge"), ["c", "n"])
     members = materialize(members, f"{folder}/members")
     release_shuffles(docs.sparkSession)
-    edges = materialize(multiply(own, members, size, percent, block_rows), f"{folder}/links")
+    edges = materialize(multiply(own, members, size, percent, block_rows, folder), f"{folder}/links")
     roots = components(edges, folder).withColumnRenamed("node", "c")
     placed = classes.join(roots.hint("merge"), "c", "left").select("c", "n", "copies", "first", F.coalesce("root", "c").alias("root"))
-    least = placed.groupBy("root").agg(F.min("first").alias("least")).selectExpr("root", "least.doc AS component", "least.rid AS first_rid")
-    named = materialize(placed.join(least.hint("merge"), "root").select("c", "n", "copies", "component", "first_rid"), f"{folder}/components")
-    total = keys.count()
-    heavy = named.filter(F.col("copies") * HEAVY_SHARE > total).drop("copies")  # at most HEAVY_SHARE classes
-    light = named.filter(F.col("copies") * HEAVY_SHARE <= total).drop("copies")
-    some = keys.filter("n > 0")
-    joined = some.join(F.broadcast(heavy), ["c", "n"]).unionByName(some.join(F.broadcast(heavy.select("c", "n")), ["c", "n"], "left_anti").join(light.hint("merge"), ["c", "n"]))
+    placed = materialize(placed, f"{folder}/placed")
+    least = placed.groupBy("root").agg(F.min("first").alias("least"), F.count("*").alias("m")).selectExpr("root", "m", "least.doc AS component", "least.rid AS first_rid")
+    named = join_keyed(placed, materialize(least, f"{folder}/least"), ["root"], "m")
+    named = materialize(named.select("c", "n", "copies", "component", "first_rid"), f"{folder}/components")
+    joined = join_keyed(keys.filter("n > 0"), named, ["c", "n"], "copies")
     result = joined.unionByName(keys.filter("n = 0").withColumns({"component": F.col("doc"), "first_rid": F.col("rid")}))
     kind = dict(docs.dtypes)["doc_id"]
     return result.select(

@@ -3,16 +3,18 @@
 A window is `window` consecutive tokens. Each window belongs to the minimizer (a k-gram of it) that
 its content selects, so equal windows meet under equal minimizers. Consecutive windows with the same
 minimizer form one run ("super-k-mer"); a text of n tokens gives some 2n/(window-k) runs, and
-only the runs travel, not the windows.
+only the runs travel, not the windows. A run carries 128 bits of BLAKE2b of its own bytes: equal digests
+are what calls two runs equal, wherever they stand; the minimizer's hash only brings them together.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from hashlib import blake2b
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ from shapelog.llm import kernels
 #: Bytes of text handled at once (a longer text goes alone).
 BATCH_BYTES = 4 << 20
 
-RUNS = "a long, d long, doc long, rid long, lo int, n int, off int"
+RUNS = "a long, d long, e long, doc long, rid long, lo int, n int, off int"
 #: What a null doc_id counts as: after all others.
 LAST_ID = (1 << 63) - 1
 LOW = (1 << 64) - 1
@@ -37,15 +39,35 @@ def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
         i = j
 
 
-def word_tokens(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, memoryview, int]:
-    """Hashed tokens, the first token of each text, what a digest of a span reads, bytes a token there."""
+class Tokens(NamedTuple):
+    """Tokens of a batch of texts: hashed values, each text's first (one more than texts), and their bytes."""
+
+    values: np.ndarray
+    limits: np.ndarray
+    view: memoryview
+    begin: np.ndarray | None
+    end: np.ndarray | None
+
+    def digests(self, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """BLAKE2b of tokens lo to hi (not included; at least one), words joined by one space: two halves of 64 bits."""
+        if not len(lo):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if self.begin is not None:
+            lo, hi = self.begin[lo], self.end[hi - 1]
+        view = self.view
+        both = b"".join([blake2b(view[x:y], digest_size=16).digest() for x, y in zip(lo.tolist(), hi.tolist(), strict=True)])
+        halves = np.frombuffer(both, np.int64).reshape(-1, 2)
+        return halves[:, 0], halves[:, 1]
+
+
+def word_tokens(raw: np.ndarray, offsets: np.ndarray) -> Tokens:
     starts, ends, first = kernels.words(raw, offsets)
-    hashes = kernels.word_hashes(raw, starts, ends)
-    return hashes, first, memoryview(hashes).cast("B") if len(hashes) else memoryview(b""), 8
+    content, begin, end = kernels.joined(raw, starts, ends)
+    return Tokens(kernels.word_hashes(content, begin, end), first, memoryview(content), begin, end)
 
 
-def byte_tokens(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, memoryview, int]:
-    return raw, offsets, memoryview(np.ascontiguousarray(raw)) if len(raw) else memoryview(b""), 1
+def byte_tokens(raw: np.ndarray, offsets: np.ndarray) -> Tokens:
+    return Tokens(raw, offsets, memoryview(np.ascontiguousarray(raw)), None, None)
 
 
 def window_runs(tokens: np.ndarray, limits: np.ndarray, k: int, window: int) -> Iterator[tuple[np.ndarray, ...]]:
@@ -67,29 +89,30 @@ def window_runs(tokens: np.ndarray, limits: np.ndarray, k: int, window: int) ->
 
 
 def runs(docs: DataFrame, tokenize: Callable, k: int, window: int) -> DataFrame:
-    """One row per run of windows: minimizer hash a, digest d of the run's whole content, place.
+    """One row per run of windows: minimizer hash a, digest d and e of the run's whole content, place.
 
     docs: doc, rid (what tells texts of one doc apart) and text.
     """
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh3_64_intdigest
         for whole in batches:
             for batch in slices(whole, "text"):
-                tokens, limits, view, width = tokenize(*kernels.text_bytes(batch["text"]))
-                doc, rid = batch["doc"].to_numpy(), batch["rid"].to_numpy()
-                for a, at, lo, n in window_runs(tokens, limits, k, window):
-                    ends = (lo + n + window - 1) * width
-                    d = np.fromiter((digest(view[x:y]) for x, y in zip((lo * width).tolist(), ends.tolist(), strict=True)), np.uint64, len(lo))
+                tokens = tokenize(*kernels.text_bytes(batch["text"]))
+                doc, rid, limits = batch["doc"].to_numpy(), batch["rid"].to_numpy(), tokens.limits
+                for a, at, lo, n in window_runs(tokens.values, limits, k, window):
+                    d, e = tokens.digests(lo, lo + n + window - 1)
                     text = np.searchsorted(limits, lo, "right") - 1
-                    columns = [a.view(np.int64), d.view(np.int64), doc[text], rid[text], (lo - limits[text]).astype(np.int32), n.astype(np.int32), (at - lo).astype(np.int32)]
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["a", "d", "doc", "rid", "lo", "n", "off"])
+                    columns = [a.view(np.int64), d, e, doc[text], rid[text], (lo - limits[text]).astype(np.int32), n.astype(np.int32), (at - lo).astype(np.int32)]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=[x.split()[0] for x in RUNS.split(", ")])
 
     return docs.select("doc", "rid", "text").mapInArrow(emit, RUNS)
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text, doc (doc_id, null as the last) and rid, by which texts that share a doc_id differ."""
+    """doc_id, text, doc (doc_id, null as the last) and rid, by which texts that share a doc_id differ.
+
+    doc_id must be a whole number; 2**63 - 1 is what null counts as.
+    """
     return docs.select(
         "doc_id",
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc"),

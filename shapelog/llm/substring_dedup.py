@@ -1,10 +1,13 @@
 """Substring dedup by De Bruijn compaction over tokens.
 
-Edges of the graph are the windows (k-mers of 50 words). Windows in sequence that share a minimizer
-form one path, and equal paths compact to one row with the smallest document that holds it. Where a
-minimizer has a single path, that path doesn't branch and is decided as a whole. Where several paths
-share a minimizer, they may branch or only touch, so their edges are joined one by one. Repeated
-edges and paths then go back to their source coordinates, where they merge into maximal spans.
+Edges of the graph are the windows (k-mers of 50 words), nodes the 49 words that two edges share.
+Consecutive windows with a common minimizer travel as one path (a compaction inside the task that
+reads the text), and equal paths become one. A minimizer with a single path has no branch inside;
+where several paths share a minimizer they may branch or only touch, so those are taken apart into
+edges again, and equal edges become one. What repeats in two documents is the graph: its nodes' degrees
+are counted, and edges on both sides of a node that doesn't branch compact into one long path, by
+joins on the nodes. A copy of a path is a long repeated span if its pieces, compared by the digest of
+their own words, stand in the same order and at the same distances as in the source.
 """
 
 from __future__ import annotations
@@ -14,66 +17,113 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shapelog.llm import kernels, spans
-from shapelog.llm.common import materialize, table, work_dir
+from shapelog.llm.common import join_keyed, materialize, release_shuffles, table, work_dir
 
 WINDOW = 50
 #: Words of a minimizer.
 K = 20
+EDGES = "k0 long, k1 long, u long, v long, doc long, rid long, lo int, n int, last long, copies long"
 
+HEAD = ["d", "e", "lo", "n", "last", "single", "copies"]
 
-def repeated_spans(docs: DataFrame, folder: str, window: int = WINDOW, k: int = K) -> DataFrame:
-    """(doc, rid, lo, len): spans of words whose windows all start in a smaller document as well.
 
-    docs: as `spans.keyed` makes them.
+def graph_edges(docs: DataFrame, heads: DataFrame, window: int) -> DataFrame:
+    """Edges of the paths in `heads` at their places: digest k0 and k1, nodes u and v, n windows from word lo on.
+
+    heads: d, e, single, doc, rid, lo, n, last and copies. A single path stays one edge, others fall into windows.
     """
-    runs = materialize(spans.runs(docs, spans.word_tokens, k, window).drop("off"), f"{folder}/runs")
-    shared = (
-        runs.groupBy("a")
-        .agg(F.min("d").alias("d0"), F.max("d").alias("d1"), F.min("doc").alias("first"), F.max("doc").alias("last"))
-        .filter("first < last")
-        .select("a", F.expr("d0 = d1").alias("single"), "first")
-    )
-    # An aggregate right below a join would keep Spark from splitting a hot minimizer there.
-    shared = materialize(shared, f"{folder}/shared")
-    cands = materialize(runs.join(shared.hint("merge"), "a"), f"{folder}/candidates")
-    whole = cands.filter("single AND doc > first").selectExpr("doc", "rid", "lo", f"n + {window - 1} AS len")
-
-    branching = cands.filter("NOT single").drop("first")
-    paths = materialize(branching.groupBy("a", "d").agg(F.min("doc").alias("first")), f"{folder}/paths")
-    known = materialize(branching.join(paths.hint("merge"), ["a", "d"]), f"{folder}/branching")
-    later = known.filter("doc > first").selectExpr("doc", "rid", "lo", f"n + {window - 1} AS len")
-
-    # A path's first document: its edges may still stand in a smaller one, on another path.
-    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh3_64_intdigest
-        for whole_batch in batches:
-            for batch in spans.slices(whole_batch, "text"):
-                tokens, limits, view, width = spans.word_tokens(*kernels.text_bytes(batch["text"]))
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in spans.slices(whole, "text"):
+                tokens = spans.word_tokens(*kernels.text_bytes(batch["text"]))
+                nodes = kernels.grams(tokens.values, window - 1).view(np.int64)
                 rows = batch["rows"]
                 count = np.diff(rows.offsets.to_numpy())
-                text = np.repeat(np.arange(batch.num_rows), count)
                 flat = rows.values.slice(rows.offsets[0].as_py(), int(count.sum()))
-                a, lo, n = (flat.field(x).to_numpy() for x in ("a", "lo", "n"))
-                each = np.repeat(np.arange(len(n)), n)
-                pos = lo[each] + np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
-                at = ((limits[text][each] + pos) * width).tolist()
-                e = np.fromiter((digest(view[x : x + window * width]) for x in at), np.uint64, len(at))
-                doc, rid = batch["doc"].to_numpy()[text][each], batch["rid"].to_numpy()[text][each]
-                columns = [a[each], e.view(np.int64), doc, rid, pos.astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["a", "e", "doc", "rid", "lo"])
-
-    heads = known.filter("doc = first")
-    edge = spans.with_text(docs.select("doc", "rid", "text"), heads, ["a", "lo", "n"]).mapInArrow(edges, "a long, e long, doc long, rid long, lo int")
-    edge = materialize(edge, f"{folder}/edges")
-    owner = edge.groupBy("a", "e").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last")
-    owner = materialize(owner, f"{folder}/owners")
-    inner = edge.join(owner.hint("merge"), ["a", "e"]).filter("doc > first").selectExpr("doc", "rid", "lo", f"{window} AS len")
-    return whole.unionByName(later).unionByName(inner)
+                d, e, lo, n, last, single, copies = (flat.field(x).to_numpy(zero_copy_only=False) for x in HEAD)
+                times = np.where(single, 1, n)
+                each = np.repeat(np.arange(len(n)), times)
+                step = np.arange(len(each)) - np.repeat(np.cumsum(times) - times, times)
+                text = np.repeat(np.arange(batch.num_rows), count)[each]
+                size = np.where(single, n, 1)[each]
+                place = lo[each] + step
+                at = tokens.limits[text] + place
+                k0, k1 = d[each], e[each]
+                apart = np.flatnonzero(~single[each])
+                k0[apart], k1[apart] = tokens.digests(at[apart], at[apart] + window)
+                columns = [k0, k1, nodes[at], nodes[at + size], batch["doc"].to_numpy()[text], batch["rid"].to_numpy()[text], place.astype(np.int32), size.astype(np.int32), last[each], copies[each]]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=[x.split()[0] for x in EDGES.split(", ")])
+
+    return spans.with_text(docs.select("doc", "rid", "text"), heads, HEAD).mapInArrow(emit, EDGES)
+
+
+def compacted(marked: DataFrame, folder: str) -> DataFrame:
+    """(k0, k1, times, source, source_rid, source_lo, at): of each distinct edge its first place, and the word `at` which its
+    nonbranching path starts there.
+
+    marked: edges with `first`, their smallest document, and `times`, the number of their places.
+    """
+    own = marked.filter("doc = first").groupBy("k0", "k1").agg(F.min("doc").alias("doc"), F.min(F.struct("rid", "lo", "n", "u", "v")).alias("s"), F.first("times").alias("times"))
+    graph = materialize(own.select("k0", "k1", "times", "doc", "s.*"), f"{folder}/graph")
+    ends = graph.selectExpr("u", "1 AS leaving", "0 AS entering").union(graph.selectExpr("v", "0", "1"))
+    degrees = ends.groupBy("u").agg(F.sum("leaving").alias("leaving"), F.sum("entering").alias("entering"))
+    degrees = materialize(degrees.selectExpr("u", "leaving", "NOT (leaving = 1 AND entering = 1) AS branches"), f"{folder}/nodes")
+    along = Window.partitionBy("doc", "rid").orderBy("lo")  # the places in one text, so bounded by it
+    # A path goes on where the node doesn't branch and the edge before it is the one before it in the source.
+    begins = F.col("branches") | ~F.lag(F.col("lo") + F.col("n")).over(along).eqNullSafe(F.col("lo"))
+    placed = join_keyed(graph, degrees, ["u"], "leaving").withColumn("begins", begins)
+    at = F.last(F.when(F.col("begins"), F.col("lo")), ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, 0))
+    return placed.select("k0", "k1", "times", F.col("doc").alias("source"), F.col("rid").alias("source_rid"), F.col("lo").alias("source_lo"), at.alias("at"))
+
+
+def long_spans(copies: DataFrame, paths: DataFrame, window: int) -> DataFrame:
+    """Copies of edges (k0, k1 at doc, rid, lo) that follow each other as in their source, as one span each."""
+    found = join_keyed(copies, paths, ["k0", "k1"], "times").withColumn("shift", F.expr("lo - source_lo"))
+    same = Window.partitionBy("doc", "rid", "source", "source_rid", "at", "shift").orderBy("lo")
+    begins = (~F.lag(F.col("lo") + F.col("n")).over(same).eqNullSafe(F.col("lo"))).cast("int")
+    parts = found.withColumn("begins", begins).withColumn("part", F.sum("begins").over(same.rowsBetween(Window.unboundedPreceding, 0)))
+    grouped = parts.groupBy("doc", "rid", "source", "source_rid", "at", "shift", "part").agg(F.min("lo").alias("lo"), F.max(F.col("lo") + F.col("n")).alias("end"))
+    return grouped.selectExpr("doc", "rid", "lo", f"end - lo + {window - 1} AS len", "source", "source_rid", "lo - shift AS source_lo")
+
+
+def repeated_spans(docs: DataFrame, folder: str, window: int = WINDOW, k: int = K) -> DataFrame:
+    """(doc, rid, lo, len, source, source_rid, source_lo): spans of words whose windows all start in a smaller document
+    as well, and where the span stands in the smallest such document.
+
+    docs: as `spans.keyed` makes them.
+    """
+    runs = materialize(spans.runs(docs, spans.word_tokens, k, window).drop("off"), f"{folder}/runs")
+    ends = [F.min("d").alias("d0"), F.max("d").alias("d1"), F.min("e").alias("e0"), F.max("e").alias("e1")]
+    shared = runs.groupBy("a").agg(F.count("*").alias("times"), *ends, F.min("doc").alias("first"), F.max("doc").alias("last")).filter("first < last")
+    shared = materialize(shared.selectExpr("a", "times", "times AS copies", "d0 = d1 AND e0 = e1 AS single", "first", "last"), f"{folder}/shared")
+    cands = materialize(join_keyed(runs, shared, ["a"], "times"), f"{folder}/candidates")
+
+    several = cands.filter("NOT single").drop("first", "last").withColumn("copies", F.lit(1).cast("bigint"))
+    paths = several.groupBy("a", "d", "e").agg(F.count("*").alias("times"), F.min("doc").alias("first"), F.max("doc").alias("last"))
+    paths = materialize(paths, f"{folder}/paths")
+    known = materialize(join_keyed(several, paths, ["a", "d", "e"], "times"), f"{folder}/several")
+    release_shuffles(docs.sparkSession)
+
+    # In a path's first document its edges are told one by one: some may stand in a smaller document, on another path.
+    heads = cands.filter("single").unionByName(known).filter("doc = first")
+    edges = materialize(graph_edges(docs, heads, window), f"{folder}/edges")
+    owners = edges.groupBy("k0", "k1").agg(F.count("*").alias("weight"), F.max("copies").alias("copies"), F.min("doc").alias("first"), F.max("last").alias("last")).filter("first < last")
+    owners = materialize(owners.selectExpr("k0", "k1", "weight", "greatest(weight, copies) AS times", "first"), f"{folder}/owners")
+    marked = materialize(join_keyed(edges.drop("last", "copies"), owners, ["k0", "k1"], "weight"), f"{folder}/marked")
+    chains = materialize(compacted(marked, folder), f"{folder}/chains")
+    release_shuffles(docs.sparkSession)
+
+    whole = cands.filter("single AND doc > first").selectExpr("d AS k0", "e AS k1", "doc", "rid", "lo", "n")
+    inner = marked.filter("doc > first").select("k0", "k1", "doc", "rid", "lo", "n")
+    found = long_spans(whole.unionByName(inner), chains, window)
+    # Another document of a path that isn't single holds all of it.
+    later = known.filter("doc > first").selectExpr("doc", "rid", "lo", f"n + {window - 1} AS len", "first AS source", "CAST(NULL AS BIGINT) AS source_rid", "CAST(NULL AS INT) AS source_lo")
+    return found.unionByName(later)
 
 
 def substring_dedup(docs: DataFrame, folder: str, window: int = WINDOW, k: int = K) -> DataFrame:
@@ -102,7 +152,7 @@ def substring_dedup(docs: DataFrame, folder: str, window: int = WINDOW, k: int =
             columns = [batch["doc_id"], pa.array(sizes, pa.int64()), pa.array(gone, pa.int64()), pa.array(texts, pa.binary()).cast(pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_removed", "kept"])
 
-    found = repeated_spans(own, folder, window, k)
+    found = repeated_spans(own, folder, window, k).select("doc", "rid", "lo", "len")
     kind = dict(docs.dtypes)["doc_id"]
     with_spans = spans.with_text(own, found, ["lo", "len"], "left").select("doc_id", "text", "rows")
     return with_spans.mapInArrow(cut, f"doc_id {kind}, n_words long, n_removed long, kept string")

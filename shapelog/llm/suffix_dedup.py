@@ -2,26 +2,28 @@
 
 The suffix array is sparse: of all suffixes of a text it holds those that start at a minimizer (a
 64-byte gram chosen by content, at least one in every 400-byte window), since equal windows hold
-equal minimizers. Minimizers seen once are dropped by a hash aggregate. What is left goes by sampled
-splitters into ranges of the suffixes' leading bytes; each bucket sorts its suffixes, and the
-reversed texts before them, by multikey quicksort. Common prefixes of neighbours then tell which
-windows around a minimizer are equal. A bucket's edge never parts equal leading bytes, so nothing is
-missed across a boundary, except where a minimizer has so many different contexts that its bucket
-would not be bounded: the windows of those are compared by digest, spread over all buckets.
+equal minimizers. Minimizers seen once are dropped by a hash aggregate, and equal contexts of a
+minimizer count as one entry with its number of places. What is left goes by sampled splitters into
+ranges of the suffixes' leading bytes; each bucket sorts its suffixes, and the reversed texts before
+them, by multikey quicksort. Common prefixes of neighbours then tell which windows around a minimizer
+are equal, for every place of the contexts. A bucket's edge never parts equal leading bytes, so no
+window has a neighbour across a boundary, except where a minimizer has so many different contexts that
+its bucket would not be bounded: the windows of those are compared by 128 bits of BLAKE2b, spread over
+all buckets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shapelog.llm import spans
-from shapelog.llm.common import materialize, table, work_dir
+from shapelog.llm.common import join_keyed, materialize, table, work_dir
 
 WINDOW = 400
 #: Bytes of a minimizer, and so the leading bytes by which suffixes are dealt out.
@@ -109,28 +111,20 @@ def repeated_spans(docs: DataFrame, folder: str, window: int = WINDOW, k: int =
     docs: as `spans.keyed` makes them.
     """
     runs = materialize(spans.runs(docs, spans.byte_tokens, k, window), f"{folder}/runs")
-    shared = (
-        runs.groupBy("a")
-        .agg(F.count("*").alias("times"), F.min("d").alias("d0"), F.max("d").alias("d1"))
-        .filter("times > 1")
-        .select("a", F.expr("d0 = d1").alias("single"))
-    )
-    # An aggregate right below a join would keep Spark from splitting a hot minimizer there.
+    ends = [F.min("d").alias("d0"), F.max("d").alias("d1"), F.min("e").alias("e0"), F.max("e").alias("e1")]
+    shared = runs.groupBy("a").agg(F.count("*").alias("times"), *ends).filter("times > 1").selectExpr("a", "times", "d0 = d1 AND e0 = e1 AS single")
     shared = materialize(shared, f"{folder}/shared")
-    cands = materialize(runs.join(shared.hint("merge"), "a"), f"{folder}/candidates")
-    size = f"n + {window - 1} AS len"
-    whole = cands.filter("single").selectExpr("doc", "rid", "lo", size)
+    cands = materialize(join_keyed(runs, shared, ["a"], "times"), f"{folder}/candidates")
+    # A minimizer with one context is one suffix that occurs twice at least: nothing to sort.
+    whole = cands.filter("single").selectExpr("doc", "rid", "lo", f"n + {window - 1} AS len")
 
     several = cands.filter("NOT single")
     contexts = materialize(
-        several.groupBy("a", "d").agg(F.count("*").alias("times"), F.min(F.struct("doc", "rid", "lo", "n", "off")).alias("place")),
+        several.groupBy("a", "d", "e").agg(F.count("*").alias("times"), F.min(F.struct("doc", "rid", "lo", "n", "off")).alias("place")),
         f"{folder}/contexts",
     )
-    copied = several.join(contexts.filter("times > 1").select("a", "d").hint("merge"), ["a", "d"], "left_semi")
-    again = copied.selectExpr("doc", "rid", "lo", size)
-
-    groups = materialize(contexts.groupBy("a").agg((F.count("*") > group_limit).alias("wide")), f"{folder}/groups")
-    places = contexts.join(groups.hint("merge"), "a").select("a", "times", "wide", "place.*")
+    groups = materialize(contexts.groupBy("a").agg(F.count("*").alias("m"), (F.count("*") > group_limit).alias("wide")), f"{folder}/groups")
+    places = join_keyed(contexts, groups, ["a"], "m").select("a", "d", "e", "times", "wide", "place.*")
 
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole_batch in batches:
@@ -144,11 +138,11 @@ def repeated_spans(docs: DataFrame, folder: str, window: int = WINDOW, k: int =
                 left = [raw[t][x : x + o] for t, x, o in zip(text.tolist(), lo, off, strict=True)]
                 right = [raw[t][x + o : x + c + window - 1] for t, x, o, c in zip(text.tolist(), lo, off, n, strict=True)]
                 columns = {"lead": pa.array([x[:k] for x in right], pa.binary()), "before": pa.array(left, pa.binary()), "after": pa.array(right, pa.binary())}
-                columns |= {x: batch[x].take(pa.array(text)) for x in ("doc", "rid")} | {x: flat.field(x) for x in ("a", "times", "wide", "lo", "n", "off")}
+                columns |= {x: batch[x].take(pa.array(text)) for x in ("doc", "rid")} | {x: flat.field(x) for x in fields}
                 yield pa.RecordBatch.from_pydict(columns)
 
-    schema = "lead binary, before binary, after binary, doc long, rid long, a long, times long, wide boolean, lo int, n int, off int"
-    fields = ["a", "times", "wide", "lo", "n", "off"]
+    schema = "lead binary, before binary, after binary, doc long, rid long, a long, d long, e long, times long, wide boolean, lo int, n int, off int"
+    fields = ["a", "d", "e", "times", "wide", "lo", "n", "off"]
     cut = materialize(spans.with_text(docs.select("doc", "rid", "text"), places, fields).mapInArrow(cut_out, schema), f"{folder}/suffixes")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,9 +152,9 @@ def repeated_spans(docs: DataFrame, folder: str, window: int = WINDOW, k: int =
             n, off, times = (table[x].to_numpy().astype(np.int64) for x in ("n", "off", "times"))
             row, first, size = repeated_windows(table["after"].to_pylist(), table["before"].to_pylist(), n, off, times, window, k)
             lo = table["lo"].to_numpy()[row] + off[row] - first
-            alone = times[row] == 1  # the others go as a whole already
             columns = [table["doc"].to_numpy()[row], table["rid"].to_numpy()[row], lo.astype(np.int32), (size + window - 1).astype(np.int32)]
-            return pa.RecordBatch.from_arrays([pa.array(x[alone]) for x in columns], names=["doc", "rid", "lo", "len"])
+            columns += [table[x].to_numpy()[row] for x in ("a", "d", "e", "times")] + [table["lo"].to_numpy()[row]]
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=[x.split()[0] for x in spots.split(", ")])
 
         for batch in batches:
             held.append(batch)
@@ -174,28 +168,38 @@ def repeated_spans(docs: DataFrame, folder: str, window: int = WINDOW, k: int =
         if held:
             yield flush(pa.Table.from_batches(held))
 
-    spots = "doc long, rid long, lo int, len int"
+    spots = "doc long, rid long, lo int, len int, a long, d long, e long, times long, base int"
     # Ranges of the leading bytes, by splitters sampled from them; a group's suffixes follow each other.
     dealt = cut.filter("NOT wide").repartitionByRange("lead").sortWithinPartitions("lead", "a")
-    sorted_out = dealt.select("a", "times", "doc", "rid", "lo", "n", "off", "before", "after").mapInArrow(compare, spots)
+    decided = dealt.select("a", "d", "e", "times", "doc", "rid", "lo", "n", "off", "before", "after").mapInArrow(compare, spots)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc", "rid", "times", "a", "d", "e", "lo"]
         for batch in batches:
-            for i in range(batch.num_rows):
-                row = {x: batch[x][i].as_py() for x in ("before", "after", "n", "lo", "doc", "rid", "times")}
-                text, n = row["before"] + row["after"], row["n"]
-                both = [xxhash.xxh3_128_intdigest(text[j : j + window]) for j in range(n)]
-                columns = [np.array([x >> 64 for x in both], np.uint64).view(np.int64), np.array([x & spans.LOW for x in both], np.uint64).view(np.int64)]
-                columns += [np.full(n, row[x], np.int64) for x in ("doc", "rid", "times")] + [np.arange(row["lo"], row["lo"] + n, dtype=np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["w0", "w1", "doc", "rid", "times", "lo"])
-
-    wide = cut.filter("wide").mapInArrow(windows, "w0 long, w1 long, doc long, rid long, times long, lo int")
-    if not contexts.groupBy("a").count().filter(F.col("count") > group_limit).isEmpty():
+            for before, after, n, *rest in zip(*(batch[x].to_pylist() for x in ("before", "after", "n", *names)), strict=True):
+                text = memoryview(before + after)
+                both = b"".join([blake2b(text[j : j + window], digest_size=16).digest() for j in range(n)])
+                halves = np.frombuffer(both, np.int64).reshape(-1, 2)
+                *keys, lo = rest
+                columns = [halves[:, 0], halves[:, 1], *(np.full(n, x, np.int64) for x in keys), np.arange(lo, lo + n, dtype=np.int32), np.full(n, lo, np.int32)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["w0", "w1", *names[:-1], "lo", "base"]).select(order)
+
+    order = ["w0", "w1", "doc", "rid", "times", "lo", "a", "d", "e", "base"]
+    wide = cut.filter("wide").mapInArrow(windows, "w0 long, w1 long, doc long, rid long, times long, lo int, a long, d long, e long, base int")
+    if not groups.filter("wide").isEmpty():
         wide = materialize(wide, f"{folder}/windows")
-        twice = wide.groupBy("w0", "w1").agg(F.sum("times").alias("all_times")).filter("all_times > 1").select("w0", "w1")
-        far = wide.filter("times = 1").join(twice.hint("merge"), ["w0", "w1"], "left_semi").selectExpr("doc", "rid", "lo", f"{window} AS len")
-        sorted_out = sorted_out.unionByName(far)
-    return whole.unionByName(again).unionByName(sorted_out)
+        twice = wide.groupBy("w0", "w1").agg(F.sum("times").alias("all_times"), F.count("*").alias("m")).filter("all_times > 1").select("w0", "w1", "m")
+        twice = materialize(twice, f"{folder}/twice")
+        far = join_keyed(wide, twice, ["w0", "w1"], "m", "left_semi").selectExpr("doc", "rid", "lo", f"{window} AS len", "a", "d", "e", "times", "base")
+        decided = decided.unionByName(far)
+    decided = materialize(decided, f"{folder}/decided")
+    once = decided.filter("times = 1").select("doc", "rid", "lo", "len")
+    # What was decided for a context holds at each of its places.
+    parts = decided.filter("times > 1").groupBy("a", "d", "e").agg(F.collect_list(F.expr("struct(lo - base AS at, len)")).alias("parts"), F.first("times").alias("times"))
+    parts = materialize(parts, f"{folder}/parts")
+    again = join_keyed(several.select("a", "d", "e", "doc", "rid", "lo"), parts, ["a", "d", "e"], "times")
+    again = again.selectExpr("doc", "rid", "lo", "inline(parts)").selectExpr("doc", "rid", "lo + at AS lo", "len")
+    return whole.unionByName(once).unionByName(again)
 
 
 def suffix_dedup(docs: DataFrame, folder: str, window: int = WINDOW, k: int = K, group_limit: int = GROUP_LIMIT) -> DataFrame:
