@@ -3,8 +3,10 @@
 A term is a word, or the first four or five bytes of a longer one (stems that take many endings);
 each is hashed to one of 2**BITS buckets. score = sigmoid(w0 + sum w_i + sum over pairs <v_i, v_j>)
 over the terms present, so a pair such as an insult with the mention of a group can weigh more than
-its parts. Terms without a sign in the training sample weigh nothing, which keeps long clean
-texts clean.
+its parts. Training is by sparse mini-batches in two rounds: first over the terms that show a sign
+alone, then, from there on, over every term of the sample, so that a pair of terms that are neutral
+alone is learned too. Part of the sample only judges: the weights after the round and pass that did
+best on it are taken, which keeps chance signs of neutral terms out, and long clean texts clean.
 """
 
 from __future__ import annotations
@@ -24,13 +26,18 @@ BITS = 20
 PREFIXES = (4, 5)
 #: At most so many labelled rows train the model: those with the smallest hash of their doc_id.
 TRAIN_ROWS = 12_000
-#: Terms that get weights, and the documents of the sample that each must be in.
-TERMS = 1024
+#: Documents of the sample that a term must be in.
 LEAST_DOCUMENTS = 3
-#: Standard errors by which the odds of a term must differ from those of all rows.
+#: Standard errors by which the odds of a term must differ from those of all rows to be in the first round.
 SURE = 3
 FACTORS = 4
-EPOCHS = 40
+#: Passes over the sample in each round, and rows of a mini-batch.
+EPOCHS = (40, 100)
+BATCH = 256
+#: A round ends after so many passes without a gain on the judging rows.
+PATIENCE = 40
+#: One of so many rows of the sample judges.
+JUDGES = 10
 
 
 def terms(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -53,38 +60,85 @@ def terms(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return (kernels.mix(np.concatenate(found)) >> np.uint64(64 - BITS)).astype(np.int64), np.concatenate(of)
 
 
+def sigmoid(x: np.ndarray) -> np.ndarray:
+    return 0.5 * (1 + np.tanh(0.5 * x))
+
+
 @dataclass
 class Machine:
-    """w0, and of each bucket with weights its place in w and v (0: none)."""
+    """w0, and w and v of every bucket (0 where a bucket has no weight)."""
 
-    place: np.ndarray
     w0: float
     w: np.ndarray
     v: np.ndarray
 
     def logits(self, buckets: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
-        at = self.place[buckets]
-        known = at > 0
-        pairs = np.unique(text[known] * len(self.w) + at[known])  # presence, not counts
-        of, at = pairs // len(self.w), pairs % len(self.w)
-        out = self.w0 + np.bincount(of, self.w[at], n)
+        """Of n texts whose distinct buckets are given with the text of each."""
+        out = self.w0 + np.bincount(text, self.w[buckets], n)
         for f in range(self.v.shape[1]):
-            v = self.v[at, f]
-            out += 0.5 * (np.bincount(of, v, n) ** 2 - np.bincount(of, v * v, n))
+            v = self.v[buckets, f]
+            out += 0.5 * (np.bincount(text, v, n) ** 2 - np.bincount(text, v * v, n))
         return out
 
 
-def sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (1 + np.tanh(0.5 * x))
-
-
-def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 0) -> Machine:
+def gradients(w: np.ndarray, v: np.ndarray, w0: float, at: np.ndarray, row: np.ndarray, labels: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Of the mean log loss by w0, w and v, where term at[i] is in row[i] of the batch."""
+    n = len(labels)
+    sums = np.stack([np.bincount(row, v[at, f], n) for f in range(v.shape[1])], axis=1)
+    out = w0 + np.bincount(row, w[at], n) + 0.5 * ((sums**2).sum(axis=1) - np.bincount(row, (v**2).sum(axis=1)[at], n))
+    error = (sigmoid(out) - labels) / n
+    by_w = np.bincount(at, error[row], len(w))
+    by_v = np.stack([np.bincount(at, (error[:, None] * sums)[row, f], len(w)) for f in range(v.shape[1])], axis=1) - by_w[:, None] * v
+    return float(error.sum()), by_w, by_v
+
+
+def batch_of(rows: list[np.ndarray], chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The terms of the chosen rows, and the place among them of the row of each."""
+    part = [rows[i] for i in chosen]
+    return np.concatenate([*part, np.zeros(0, np.int64)]).astype(np.int64), np.repeat(np.arange(len(part)), [len(x) for x in part])
+
+
+def rounds(machine: Machine, rows: list[np.ndarray], labels: np.ndarray, learn: np.ndarray, judge: np.ndarray, epochs: int, rate: float, rng: np.random.Generator) -> Machine:
+    """AdaGrad over sparse mini-batches; the weights, after whichever pass, of the least loss on the judging rows."""
+
+    def loss(m: Machine) -> float:
+        z = m.logits(*batch_of(rows, judge), len(judge))
+        return float(np.mean(np.logaddexp(0, z) - labels[judge] * z))
+
+    best, least, since = machine, loss(machine), 0
+    w0, w, v = machine.w0, machine.w.copy(), machine.v.copy()
+    past0, past_w, past_v = 1e-4, np.full(len(w), 1e-4), np.full(len(w), 1e-4)
+    for epoch in range(epochs):
+        step = rate * (1 - epoch / epochs)
+        order = rng.permutation(learn)
+        for i in range(0, len(order), BATCH):
+            chosen = order[i : i + BATCH]
+            flat, row = batch_of(rows, chosen)
+            used, at = np.unique(flat, return_inverse=True)
+            own_w, own_v = w[used], v[used]
+            g0, gw, gv = gradients(own_w, own_v, w0, at, row, labels[chosen])
+            gw, gv = gw + 1e-4 * own_w, gv + 1e-4 * own_v
+            past0 += g0 * g0
+            past_w[used] += gw * gw
+            past_v[used] += (gv**2).mean(axis=1)
+            w0 -= step * g0 / np.sqrt(past0)
+            w[used] = own_w - step * gw / np.sqrt(past_w[used])
+            v[used] = own_v - step * gv / np.sqrt(past_v[used])[:, None]
+        now = Machine(w0, w.copy(), v.copy())
+        if (found := loss(now)) < least:
+            best, least, since = now, found, 0
+        elif (since := since + 1) >= PATIENCE:
+            break
+    return best
+
+
+def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 0, epochs: tuple[int, int] = EPOCHS) -> Machine:
     """Fit on the distinct buckets of each row. Without rows of both labels it scores all alike."""
-    place = np.zeros(1 << BITS, np.int32)
     n, positives = len(rows), int(labels.sum())
     base = float(np.log((positives + 0.5) / (n - positives + 0.5)))
+    none = Machine(base, np.zeros(1 << BITS), np.zeros((1 << BITS, FACTORS)))
     if not positives or positives == n:
-        return Machine(place, base, np.zeros(1), np.zeros((1, FACTORS)))
+        return none
     total, toxic = np.zeros(1 << BITS, np.int32), np.zeros(1 << BITS, np.int32)
     for row, label in zip(rows, labels, strict=True):  # a row's buckets are distinct
         total[row] += 1
@@ -92,35 +146,24 @@ def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 0) -> Machine:
     # The term's sign: how surely its odds differ from those of all rows, in standard errors.
     odds = np.log((toxic + 0.5) / (total - toxic + 0.5)) - base
     sure = np.abs(odds) / np.sqrt(1 / (toxic + 0.5) + 1 / (total - toxic + 0.5))
-    sure[total < LEAST_DOCUMENTS] = 0
-    chosen = np.argsort(-sure, kind="stable")[:TERMS]
-    chosen = chosen[sure[chosen] > SURE]
-    place[chosen] = np.arange(1, len(chosen) + 1)
-    x = np.zeros((n, len(chosen) + 1), np.float32)
-    for i, row in enumerate(rows):
-        x[i, place[row]] = 1
-    x[:, 0] = 0
+    known = np.flatnonzero(total >= LEAST_DOCUMENTS)
     rng = np.random.default_rng(seed)
-    y = labels.astype(np.float32)
-    weight = {"w0": np.zeros(1, np.float32) + base, "w": np.zeros(x.shape[1], np.float32), "v": rng.normal(0, 0.02, (x.shape[1], FACTORS)).astype(np.float32)}
-    first, second = ({k: np.zeros_like(p) for k, p in weight.items()} for _ in range(2))
-    step, batch = 0, 256
-    for epoch in range(EPOCHS):
-        order = rng.permutation(n)
-        for i in range(0, n, batch):
-            rows_, step = order[i : i + batch], step + 1
-            part = x[rows_]
-            sums = part @ weight["v"]
-            out = weight["w0"] + part @ weight["w"] + 0.5 * (sums**2 - part @ weight["v"] ** 2).sum(1)
-            error = (sigmoid(out) - y[rows_]) / len(rows_)
-            up = part.T @ error
-            grad = {"w0": error.sum(keepdims=True), "w": up + 2e-4 * weight["w"], "v": part.T @ (error[:, None] * sums) - weight["v"] * up[:, None] + 1e-3 * weight["v"]}
-            rate = 0.05 * (1 - epoch / EPOCHS)
-            for k, g in grad.items():
-                first[k] = 0.9 * first[k] + 0.1 * g
-                second[k] = 0.999 * second[k] + 0.001 * g * g
-                weight[k] -= rate * (first[k] / (1 - 0.9**step)) / (np.sqrt(second[k] / (1 - 0.999**step)) + 1e-8)
-    return Machine(place, float(weight["w0"][0]), weight["w"].astype(float), weight["v"].astype(float))
+    judge = np.sort(rng.permutation(n)[: n // JUDGES])
+    learn = np.setdiff1d(np.arange(n), judge)
+    if n < JUDGES**2:  # too few to set any aside
+        judge = learn = np.arange(n)
+    place = np.full(1 << BITS, -1)
+    machine = Machine(base, np.zeros(len(known)), rng.normal(0, 0.01, (len(known), FACTORS)))
+    start = machine.v.copy()
+    for chosen, passes, rate in ((known[sure[known] > SURE], epochs[0], 0.1), (known, epochs[1], 0.1)):
+        place[:] = -1
+        place[chosen] = np.searchsorted(known, chosen)
+        own = [p[p >= 0] for p in (place[row] for row in rows)]
+        machine = rounds(machine, own, labels, learn, judge, passes, rate, rng)
+    w, v = none.w, none.v
+    moved = (machine.w != 0) | (machine.v != start).any(axis=1)  # what never learned has no weight
+    w[known[moved]], v[known[moved]] = machine.w[moved], machine.v[moved]
+    return Machine(machine.w0, w, v)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, limit: int) -> DataFrame:
@@ -131,7 +174,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, limit: int) ->
 
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> Machine:
-    """Learn from the labelled documents; only hashed terms of the sample come to the driver."""
+    """Learn from the labelled documents, of which at most `limit` count.
+
+    Only the distinct hashed terms of the sample come to the driver: at most 2**BITS a row, four bytes
+    each. Rows without a label or with a null doc_id don't count; of a doc_id with two labels the larger
+    one does; a text that repeats a doc_id is a row of its own. Null and empty texts have no terms.
+    """
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -164,7 +212,8 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
         for whole in batches:
             for batch in spans.slices(whole, "text"):
                 buckets, text = terms(*kernels.text_bytes(batch["text"]))
-                p = sigmoid(shared.value.logits(buckets, text, batch.num_rows))
+                pairs = np.unique(text << BITS | buckets)  # presence, not counts
+                p = sigmoid(shared.value.logits(pairs & ((1 << BITS) - 1), pairs >> BITS, batch.num_rows))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], names=names)
 
     return kept.mapInArrow(run, ", ".join(f"`{x}` {kind}" for x, kind in kept.dtypes) + ", score double")
