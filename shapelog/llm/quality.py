@@ -38,8 +38,11 @@ def start(seed: int) -> Weights:
     return {k: v.astype(np.float32) for k, v in w.items()}
 
 
-def layout(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The texts with TAPS zeros after each, the blocks' first bytes, and each text's first block (one more than texts)."""
+def layout(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts with TAPS zeros after each, the blocks' first bytes and ends, and each text's first block (one more than texts).
+
+    A filter stands at every byte of a text and reads zeros behind it; an empty text is one byte of zeros.
+    """
     size = np.diff(offsets)
     blocks = np.maximum(1, -(-size // BLOCK))
     first = np.concatenate([[0], np.cumsum(blocks)])
@@ -48,22 +51,21 @@ def layout(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     for a, b, to in zip(offsets[:-1].tolist(), offsets[1:].tolist(), at.tolist(), strict=True):
         buffer[to : to + b - a] = raw[a:b]
     begins = np.repeat(at, blocks) + BLOCK * (np.arange(first[-1]) - np.repeat(first[:-1], blocks))
-    return buffer, begins, first
+    return buffer, begins, np.minimum(begins + BLOCK, np.repeat(at + np.maximum(size, 1), blocks)), first
 
 
-def block_maxima(buffer: np.ndarray, begins: np.ndarray, conv: np.ndarray) -> np.ndarray:
-    """Maximum of each filter over each block (a block ends where the next begins, in the zeros at the latest)."""
+def block_maxima(buffer: np.ndarray, begins: np.ndarray, ends: np.ndarray, conv: np.ndarray) -> np.ndarray:
+    """Maximum of each filter over each block."""
     out = np.empty((len(begins), conv.shape[2]), np.float32)
     i = 0
     while i < len(begins):
         j = max(i + 1, int(np.searchsorted(begins, begins[i] + PIECE)))
-        lo, hi = begins[i], min(begins[j] if j < len(begins) else len(buffer), len(buffer) - TAPS)
-        hi = max(hi, lo + 1)
+        lo, hi = begins[i], ends[j - 1] + 1
         total = np.take(conv[0], buffer[lo:hi], axis=0)
         held = np.empty_like(total)
         for t in range(1, TAPS):
             total += np.take(conv[t], buffer[lo + t : hi + t], axis=0, out=held, mode="clip")
-        out[i:j] = np.maximum.reduceat(total, begins[i:j] - lo, axis=0)
+        out[i:j] = np.maximum.reduceat(total, np.column_stack([begins[i:j], ends[i:j]]).ravel() - lo, axis=0)[::2]
         i = j
     return out
 
@@ -97,9 +99,9 @@ def probabilities(raw: np.ndarray, offsets: np.ndarray, w: Weights) -> np.ndarra
     """Of each text, from all of its bytes; an empty text is one block of zeros."""
     if len(offsets) < 2:
         return np.zeros(0)
-    buffer, begins, first = layout(raw, offsets)
+    buffer, begins, ends, first = layout(raw, offsets)
     begin, last, own = chunks(first)
-    return sigmoid(head(pool(block_maxima(buffer, begins, w["conv"]), begin, last), own, w)[-1].astype(float))
+    return sigmoid(head(pool(block_maxima(buffer, begins, ends, w["conv"]), begin, last), own, w)[-1].astype(float))
 
 
 def gradients(texts: list[bytes], labels: np.ndarray, w: Weights) -> Weights:
@@ -110,15 +112,15 @@ def gradients(texts: list[bytes], labels: np.ndarray, w: Weights) -> Weights:
     return {k: sum(g[k] for g in found) for k in found[0]}
 
 
-def winners(buffer: np.ndarray, begins: np.ndarray, blocks: np.ndarray, filters: np.ndarray, conv: np.ndarray) -> np.ndarray:
+def winners(buffer: np.ndarray, begins: np.ndarray, ends: np.ndarray, blocks: np.ndarray, filters: np.ndarray, conv: np.ndarray) -> np.ndarray:
     """The first byte of each of these blocks at which its filter is largest."""
-    limits, out = np.append(begins, len(buffer) - TAPS), np.empty(len(blocks), np.int64)
+    out = np.empty(len(blocks), np.int64)
     for i in range(0, len(blocks), PIECE // BLOCK):
         b, f = blocks[i : i + PIECE // BLOCK], filters[i : i + PIECE // BLOCK, None]
-        at = limits[b][:, None] + np.arange(BLOCK + TAPS)
+        at = begins[b][:, None] + np.arange(BLOCK)
         total = sum(conv[t, buffer[np.minimum(at + t, len(buffer) - 1)], f] for t in range(TAPS))
-        total[at >= limits[b + 1][:, None]] = -np.inf
-        out[i : i + PIECE // BLOCK] = limits[b] + total.argmax(1)
+        total[at >= ends[b][:, None]] = -np.inf
+        out[i : i + PIECE // BLOCK] = begins[b] + total.argmax(1)
     return out
 
 
@@ -126,9 +128,9 @@ def _gradients(texts: list[bytes], labels: np.ndarray, w: Weights, n: int) -> We
     """Of these texts' share of the mean over n. Through the pooling, only the winning position of each chunk and filter counts."""
     raw = np.frombuffer(b"".join(texts), np.uint8)
     offsets = np.concatenate([[0], np.cumsum([len(x) for x in texts])]).astype(np.int64)
-    buffer, begins, first = layout(raw, offsets)
+    buffer, begins, ends, first = layout(raw, offsets)
     begin, last, own = chunks(first)
-    maxima = block_maxima(buffer, begins, w["conv"])
+    maxima = block_maxima(buffer, begins, ends, w["conv"])
     pooled = pool(maxima, begin, last)
     seen, hidden, mean, most, out = head(pooled, own, w)
     count = np.diff(own)
@@ -147,7 +149,7 @@ def _gradients(texts: list[bytes], labels: np.ndarray, w: Weights, n: int) -> We
     for i in range(1, CHUNK_BLOCKS):
         other = np.minimum(begin[c] + i, last[c])
         best = np.where(maxima[other, f] > maxima[best, f], other, best)
-    at = winners(buffer, begins, best, f, w["conv"])
+    at = winners(buffer, begins, ends, best, f, w["conv"])
     for t in range(TAPS):
         np.add.at(conv[t], (buffer[at + t], f), back[c, f])
     grad["conv"] = conv

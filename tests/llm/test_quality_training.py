@@ -20,13 +20,8 @@ def loss(batch, labels, w):
     return -np.mean(labels * np.log(p) + (1 - labels) * np.log(1 - p))
 
 
-def apart(batch, labels, w):
-    """As loss, each text by itself: in one buffer the last bytes of a text are read with the first of the next."""
-    return np.mean([loss([t], y, w) for t, y in zip(batch, labels, strict=True)])
-
-
-@pytest.mark.parametrize(("piece", "loss"), [(quality.PIECE, loss), (quality.BLOCK, apart)])
-def test_gradients_of_whole_texts(monkeypatch, piece, loss):
+@pytest.mark.parametrize("piece", [quality.PIECE, quality.BLOCK])
+def test_gradients_of_whole_texts(monkeypatch, piece):
     monkeypatch.setattr(quality, "PIECE", piece)
     batch, rng = texts()[1:], np.random.default_rng(1)
     labels = np.arange(len(batch), dtype=np.float32) % 2
@@ -44,3 +39,11 @@ def test_training_sees_whole_texts(monkeypatch):
     monkeypatch.setattr(quality, "gradients", lambda part, labels, w: seen.extend(part) or own(part, labels, w))
     quality.train(texts(), np.arange(len(texts()), dtype=np.float32) % 2, epochs=1)
     assert sorted(seen) == sorted(texts())
+
+
+def test_a_score_does_not_depend_on_other_texts():
+    w = quality.start(3)
+    batch = texts()
+    raw, ends = np.frombuffer(b"".join(batch), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in batch])])
+    alone = [quality.probabilities(np.frombuffer(x, np.uint8), np.array([0, len(x)]), w)[0] for x in batch]
+    assert np.allclose(quality.probabilities(raw, ends, w), alone, atol=1e-6)
