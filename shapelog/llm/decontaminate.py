@@ -5,6 +5,10 @@ holds every one of its shingles, so it must hold the rarest, and that one alone
 necessary prefix of a containment join. Rarity is counted over all documents. A joined shingle then
 fixes where the window would stand; bounds on position and length discard what can't fit, and the
 words around it decide.
+
+One scan of the documents keeps the places whose shingle is in a filter of fixed size, so that of the
+texts only the surroundings of such places travel. The filter lets some other places through, the more
+the fuller it is; the join drops those.
 """
 
 from __future__ import annotations
@@ -16,11 +20,10 @@ from shapelog.llm.common import materialize, table, work_dir
 
 WINDOW = 10
 SHINGLE = 3
-#: Up to this many distinct benchmark shingles are held as a literal set in the scan of the
-#: documents; beyond it the scan's shingles are joined by shuffle.
-LITERAL_SHINGLES = 100_000
-#: Up to this many windows the prefix table is broadcast (some 50 MB); beyond it, it is shuffled.
-BROADCAST_WINDOWS = 200_000
+#: Bits of the filter of benchmark shingles that each scan task holds (1 MB, whatever the benchmark's size): 2**FILTER_BITS.
+FILTER_BITS = 23
+#: A table of windows or names is broadcast up to this many bytes, as measured; beyond it, it is shuffled.
+BROADCAST_BYTES = 32 << 20
 
 NON_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -48,13 +51,28 @@ def item_windows(items: DataFrame, id_col: str, window: int = WINDOW) -> DataFra
     )
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, folder: str, window: int = WINDOW, literal_shingles: int = LITERAL_SHINGLES, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
-    """One row per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
+def shingle_filter(shingles: DataFrame, bits: int = FILTER_BITS) -> Column:
+    """2**bits bits as an array of longs, with a bit set for each shingle h: a scalar subquery of one row of fixed size."""
+    words = 1 << bits - 6
+    slots = shingles.select(F.expr(f"pmod(h, {1 << bits})").alias("s")).selectExpr("s div 64 AS word", "shiftleft(1L, CAST(s % 64 AS INT)) AS bit")
+    filled = slots.groupBy("word").agg(F.bit_or("bit").alias("b"))
+    every = shingles.sparkSession.range(words).withColumnRenamed("id", "word").join(filled, "word", "left")
+    return every.agg(F.sort_array(F.collect_list(F.struct("word", F.coalesce("b", F.lit(0).cast("long")).alias("b")))).alias("x")).select("x.b").scalar()
+
+
+def small(df: DataFrame, size: Column, limit: int) -> bool:
+    """Whether the rows of a written table hold at most `limit` bytes."""
+    return (df.agg(F.sum(size)).first()[0] or 0) <= limit
+
+
+def decontaminate(docs: DataFrame, items: DataFrame, folder: str, window: int = WINDOW, broadcast_bytes: int = BROADCAST_BYTES, filter_bits: int = FILTER_BITS) -> DataFrame:
+    """One row per document row: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
     docs needs doc_id and text, items item_id and text; other columns are ignored. Null and empty
     texts have no words: such a document has no hits and such an item no windows. Repeated items
-    count once. Rows that share a doc_id are one document for hits and items, each with its own
-    n_words. A null item_id is not counted among the items, but its windows still hit.
+    count once. Each text of a repeated or null doc_id is judged by itself; rows that repeat both have
+    equal results. A null item_id is not counted among the items, but its windows still hit. Empty
+    tables give no rows, or rows without hits.
     """
     windows = materialize(
         item_windows(items, "item_id", window).groupBy("tokens").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids")).selectExpr("xxhash64(tokens) AS wid", "tokens", "size(tokens) AS len", f"least(size(tokens), {SHINGLE}) AS k", "item_ids"),
@@ -65,36 +83,21 @@ def decontaminate(docs: DataFrame, items: DataFrame, folder: str, window: int =
         windows.selectExpr("wid", "len", "k", "tokens", "posexplode(transform(sequence(0, len - k), i -> " + by_size + ")) AS (off, h)"),
         f"{folder}/item_shingles",
     )
-    sizes = sorted(r.k for r in windows.select("k").distinct().collect())
-    distinct = shingles.select("h").distinct()
-    few = distinct.limit(literal_shingles + 1).collect()
-
-    # One pass over the texts keeps, of each document, only the places where a benchmark shingle stands,
-    # with the words around it that any window through it could need.
-    parsed = docs.select("doc_id", words(F.col("text")).alias("w"))
-    around = f"struct(p, h, greatest(p - {window - 1}, 0) AS at, slice(w, greatest(p - {window - 1}, 0) + 1, {2 * window}) AS near)"
-    if len(few) <= literal_shingles:
-        known = ", ".join(f"{r.h}L" if r.h >= 0 else f"({r.h + 1}L - 1L)" for r in few) or "null"
-        hits = ", ".join(
-            f"transform(filter(sequence(0, size(w) - 1), p -> p + {s} <= size(w) AND {_shingle('w', 'p', s)} IN ({known})), p -> struct(p, {_shingle('w', 'p', s)} AS h))"
-            for s in sizes
-        )
-        rows = materialize(
-            parsed.selectExpr("doc_id", "w", f"CASE WHEN size(w) > 0 THEN concat({hits}) END AS found" if sizes else "CAST(null AS array<struct<p:int,h:bigint>>) AS found")
-            .selectExpr("doc_id", "size(w) AS n_words", f"transform(found, x -> struct(x.p AS p, x.h AS h, greatest(x.p - {window - 1}, 0) AS at, slice(w, greatest(x.p - {window - 1}, 0) + 1, {2 * window}) AS near)) AS hits"),
-            f"{folder}/hits",
-        )
-        found = rows.filter("size(hits) > 0").selectExpr("doc_id", "n_words", "inline(hits)")
-        counts = rows.select("doc_id", F.col("n_words").cast("long").alias("n_words"))
-    else:
-        every = ", ".join(f"transform(sequence(0, size(w) - 1), p -> named_struct('p', p, 'h', CASE WHEN p + {s} <= size(w) THEN {_shingle('w', 'p', s)} END))" for s in sizes)
-        near = around.replace("struct(p, h, ", "struct(x.p AS p, x.h AS h, ").replace("(p - ", "(x.p - ")
-        exploded = parsed.filter("size(w) > 0").selectExpr("doc_id", "size(w) AS n_words", f"explode(transform(filter(concat({every}), x -> x.h IS NOT NULL), x -> {near})) AS hit").select("doc_id", "n_words", "hit.*")
-        found = materialize(exploded.join(distinct.hint("merge"), "h", "left_semi"), f"{folder}/hits")
-        counts = parsed.selectExpr("doc_id", "CAST(size(w) AS bigint) AS n_words")
-
-    rarity = found.groupBy("h").agg(F.count("*").alias("df"))
-    # Inner join: a window with a shingle that no document has can't occur; min() over the others picks a present one.
+    sizes = sorted(r.k for r in windows.select("k").distinct().collect())  # of at most SHINGLE kinds
+
+    # One pass over the texts keeps, of each document, only the places that pass the filter, with the
+    # words around them that any window through them could need.
+    rid = F.xxhash64(F.coalesce("text", F.lit("")))
+    parsed = docs.select("doc_id", rid.alias("rid"), words(F.col("text")).alias("w"), shingle_filter(shingles.select("h").distinct(), filter_bits).alias("known"))
+    every = ", ".join(f"transform(sequence(0, size(w) - 1), p -> CASE WHEN p + {s} <= size(w) THEN struct(p, {_shingle('w', 'p', s)} AS h) END)" for s in sizes)
+    passes = f"shiftright(get(known, CAST(pmod(x.h, {1 << filter_bits}) div 64 AS INT)), CAST(pmod(x.h, 64) AS INT)) % 2 <> 0"
+    near = f"struct(x.p AS p, x.h AS h, greatest(x.p - {window - 1}, 0) AS at, slice(w, greatest(x.p - {window - 1}, 0) + 1, {2 * window}) AS near)"
+    found = f"transform(filter(concat({every}), x -> x IS NOT NULL AND {passes}), x -> {near})" if sizes else "CAST(null AS array<struct<p:int,h:bigint,at:int,near:array<string>>>)"
+    rows = materialize(parsed.selectExpr("doc_id", "rid", "size(w) AS n_words", f"CASE WHEN size(w) > 0 THEN {found} END AS hits"), f"{folder}/hits")
+    hits = rows.filter("size(hits) > 0").selectExpr("doc_id", "rid", "n_words", "inline(hits)")
+
+    rarity = materialize(hits.groupBy("h").agg(F.count("*").alias("df")), f"{folder}/rarity")
+    # A window with a shingle that no document has can't occur; min() over the others picks a present one.
     prefix = (
         shingles.join(rarity, "h", "left")
         .groupBy("wid")
@@ -103,18 +106,22 @@ def decontaminate(docs: DataFrame, items: DataFrame, folder: str, window: int =
         .selectExpr("wid", "tokens", "size(tokens) AS len", "rarest.h AS h", "rarest.off AS off")
     )
     prefix = materialize(prefix, f"{folder}/prefix")
-    small = prefix.count() <= broadcast_windows
+    room = F.octet_length(F.array_join("tokens", " ")) + 64
     fits = "p >= off AND p - off + len <= n_words"
     exact = "slice(near, p - off - at + 1, len) = tokens"
-    match = found.join(F.broadcast(prefix) if small else prefix, "h").filter(fits).filter(exact).selectExpr("doc_id", "wid", "p - off AS start", "len").distinct()
-    match = materialize(match, f"{folder}/matches")
+    joined = hits.join(F.broadcast(prefix) if small(prefix, room, broadcast_bytes) else prefix.hint("merge"), "h")
+    match = materialize(joined.filter(fits).filter(exact).selectExpr("doc_id", "rid", "wid", "p - off AS start", "len").distinct(), f"{folder}/matches")
     # Positions first merge within a document by distinct, then count.
-    hit = match.selectExpr("doc_id", "explode(sequence(start, start + len - 1)) AS p").distinct().groupBy("doc_id").agg(F.count("*").alias("n_hit"))
-    names = windows.select("wid", F.explode("item_ids").alias("item_id"))
-    which = match.select("doc_id", "wid").distinct().join(F.broadcast(names) if small else names, "wid")
-    which = which.select("doc_id", F.col("item_id").cast("string").alias("item_id")).distinct().groupBy("doc_id").agg(F.sort_array(F.collect_list("item_id")).alias("ids"))
-    found_docs = hit.join(which, hit.doc_id.eqNullSafe(which.doc_id), "left").select(hit.doc_id.alias("hit_id"), "n_hit", "ids")
-    out = counts.join(found_docs, counts.doc_id.eqNullSafe(found_docs.hit_id), "left")
+    hit = match.selectExpr("doc_id", "rid", "explode(sequence(start, start + len - 1)) AS p").distinct().groupBy("doc_id", "rid").agg(F.count("*").alias("n_hit"))
+    met = materialize(match.groupBy("wid").agg(F.count("*").alias("m")), f"{folder}/met")
+    names = materialize(windows.join(met.select("wid"), "wid", "left_semi").select("wid", F.explode("item_ids").alias("item_id")).withColumn("item_id", F.col("item_id").cast("string")), f"{folder}/names")
+    which = match.select("doc_id", "rid", "wid").distinct()
+    which = which.join(F.broadcast(names) if small(names, F.octet_length("item_id") + 32, broadcast_bytes) else names.hint("merge"), "wid")
+    which = which.select("doc_id", "rid", "item_id").distinct().groupBy("doc_id", "rid").agg(F.sort_array(F.collect_list("item_id")).alias("ids"))
+    same = hit.doc_id.eqNullSafe(which.doc_id) & (hit.rid == which.rid)
+    found_docs = hit.join(which, same, "left").select(hit.doc_id.alias("hit_id"), hit.rid.alias("hit_rid"), "n_hit", "ids")
+    counts = rows.select("doc_id", "rid", F.greatest(F.col("n_words"), F.lit(0)).cast("long").alias("n_words"))
+    out = counts.join(found_docs, counts.doc_id.eqNullSafe(found_docs.hit_id) & (counts.rid == found_docs.hit_rid), "left")
     ids = F.coalesce("ids", F.array().cast("array<string>"))
     return out.select(
         "doc_id",

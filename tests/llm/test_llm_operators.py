@@ -73,12 +73,27 @@ def item_hits(items):
     return out
 
 
-@pytest.mark.parametrize("literal", [100_000, 0])
-def test_decontaminate(spark, docs, literal):
+@pytest.mark.parametrize(("room", "bits"), [(decontaminate.BROADCAST_BYTES, decontaminate.FILTER_BITS), (-1, 6)])
+def test_decontaminate(spark, docs, room, bits):
+    """With any filter, even one that lets all through, and with or without broadcasts."""
     items = [(9, PASSAGE[:200]), (10, "one TWO"), (11, None), (12, ""), (13, "zeta"), (14, text(40, 99)), (15, PASSAGE[:200])]
-    table = spark.createDataFrame(items, "item_id bigint, text string")
+    table = spark.createDataFrame([(*x, 1, "rid") for x in items], "item_id bigint, text string, doc_id int, tokens string")
     names = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
-    assert got(decontaminate.decontaminate(docs, table, work_dir(spark), literal_shingles=literal), *names) == item_hits(items)
+    assert got(decontaminate.decontaminate(docs, table, work_dir(spark), broadcast_bytes=room, filter_bits=bits), *names) == item_hits(items)
+
+
+def test_decontaminate_repeated_ids(spark):
+    """Each text of a repeated or null id has its own hits."""
+    rows = [(1, PASSAGE), (1, "clean text"), (None, PASSAGE), (None, None), (1, PASSAGE), (2, "x " + PASSAGE + " y")]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string")
+    items = spark.createDataFrame([(9, PASSAGE), (None, "clean text")], "item_id bigint, text string")
+    n = len(decontaminate_words(PASSAGE))
+    found = sorted(map(tuple, decontaminate.decontaminate(table, items, work_dir(spark)).select("doc_id", "n_words", "n_hit", "n_items").collect()), key=repr)
+    assert found == sorted([(1, n, n, 1), (1, 2, 2, 0), (None, n, n, 1), (None, 0, 0, 0), (1, n, n, 1), (2, n + 2, n, 1)], key=repr)
+
+
+def decontaminate_words(t):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t)
 
 
 def test_decontaminate_without_items(spark, docs):
