@@ -57,6 +57,22 @@ def test_exact_dedup(spark, docs):
     assert exact_dedup.exact_dedup(empty(spark), index, work_dir(spark)).count() == 0
 
 
+def test_index_grows_and_reopens(spark):
+    """The index gets more buckets as it grows, holds each digest once, and another object opens what one wrote."""
+    folder, ids = work_dir(spark), []
+    for part in range(4):
+        index = exact_dedup.DigestIndex(spark, f"{folder}/index", bucket_rows=5, temporary=True)
+        rows = [(100 * part + i, f"text {j}") for i, j in enumerate([*range(30 * part), 5, 5])]
+        found = got(exact_dedup.exact_dedup(spark.createDataFrame(rows, "doc_id bigint, text string"), index, work_dir(spark)), "doc_id", "keep_id")
+        ids.append(dict(found))
+    assert index.buckets == 32 and index.read().count() == index.read().select("digest").distinct().count() == 90
+    assert ids[3][300 + 40] == 200 + 40 and ids[3][300 + 75] == 375 and ids[3][300 + 5] == 0
+    none = spark.createDataFrame([(None, None), (None, "a"), (1, "a"), (1, "a"), (2, "")], "doc_id bigint, text string")
+    own = exact_dedup.DigestIndex(spark, f"{folder}/other", temporary=True)
+    found = sorted(map(tuple, exact_dedup.exact_dedup(none, own, work_dir(spark)).drop("text_sha256").collect()), key=repr)
+    assert found == sorted([(None, 2, 2, False), (None, 1, 3, False), (1, 1, 3, True), (1, 1, 3, True), (2, 2, 2, True)], key=repr)
+
+
 def item_hits(items):
     split = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
     out = []
