@@ -25,7 +25,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the one with the smallest doc_id stays, and one row of those that repeat it."""
     folder = work_dir(spark)
-    index = exact_dedup.DigestIndex(spark, f"{folder}/index", dict(docs.dtypes)["doc_id"])
+    index = exact_dedup.DigestIndex(spark, f"{folder}/index", dict(docs.dtypes)["doc_id"], temporary=True)
     kept = exact_dedup.exact_dedup(docs, index, folder).filter("kept").selectExpr("doc_id AS _id", "text_sha256 AS _digest").distinct()
     rows = docs.withColumn("_text", exact_dedup.digest(F.col("text")))
     joined = rows.join(kept.hint("merge"), rows._text.eqNullSafe(kept._digest) & rows.doc_id.eqNullSafe(kept._id))
