@@ -1,29 +1,36 @@
 """WARC archives of pages, and one ordered capture index over all of them.
 
 `write_archives` writes a record per page (a revisit where an equal payload is stored already),
-`read_archives` reads records back and checks them, and `merge_index` turns the index of each
+`read_archives` reads records back as a stream, checks them and tells where each stands, and `merge_index` turns the index of each
 archive, a run sorted by URL key and time, into one: ranges of the keys are dealt out by sampled
 splitters, so that one key's captures may span ranges, and each range merges its slices of the runs
-with a loser tree.
+with a loser tree. The index holds each capture's archive and place in it, by which `fetch` finds it.
 """
 
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
-import io
 from collections.abc import Iterator
+from itertools import groupby, islice
+from operator import itemgetter
 from urllib.parse import urlsplit
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shapelog.llm.common import HEAVY_SHARE, materialize, table, work_dir
 
-#: Records of one archive file; with the partitions' size it bounds what one task reads at once.
+#: Records of one archive file. Archives are read as a stream, so their size bounds no memory.
 RECORDS_PER_FILE = 20_000
+#: Index entries of one range of the merge, on average, at most.
+RANGE_ROWS = 200_000
+#: Entries whose keys are held of each run, and entries of an output batch.
+AHEAD = 1024
+#: Payload bytes after which a batch of records goes on.
+BATCH_BYTES = 8 << 20
 #: Payloads under so many bytes are stored again rather than referred to.
 MIN_REVISIT_BYTES = 0
 #: The time of the capture of page 0, where the pages have no column `captured`: a second a page.
@@ -33,7 +40,7 @@ BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 
 CRLF = "\r\n"
-RECORD = "page_id {id}, url string, captured string, record_type string, refers_to {id}, payload_digest string, payload_bytes long, payload string, archive string"
+RECORD = "page_id {id}, url string, captured string, record_type string, refers_to {id}, payload_digest string, payload_bytes long, payload string, archive string, offset long, length long"
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -106,58 +113,84 @@ def write_archives(pages: DataFrame, path: str, folder: str, min_bytes: int = MI
     rows.select(record.alias("value")).write.option("compression", "gzip").option("lineSep", CRLF).option("maxRecordsPerFile", records_per_file).text(path)
 
 
-def parse_records(stream: io.BufferedIOBase) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers (names in lower case) and block of each record of an archive."""
-    while first := stream.readline():
-        if not first.strip():
+def parse_records(lines: Iterator[bytes]) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
+    """Of each record of an archive, given by its lines: offset, length, headers (names in lower case) and block.
+
+    Lines are what newlines end, without them. Only one record is held at a time.
+    """
+    at = 0
+    for line in lines:
+        if not line.strip():
+            at += len(line) + 1
             continue
-        if not first.startswith(b"WARC/"):
-            raise ValueError(f"not a WARC record: {first[:60]!r}")
-        headers = {}
-        while line := stream.readline().rstrip(b"\r\n"):
+        if not line.startswith(b"WARC/"):
+            raise ValueError(f"not a WARC record: {line[:60]!r}")
+        start, headers = at, {}
+        at += len(line) + 1
+        for line in lines:
+            at += len(line) + 1
+            if not line.strip():
+                break
             name, _, value = line.partition(b":")
             headers[name.decode().lower()] = value.strip().decode()
         size = int(headers["content-length"])
-        block = stream.read(size)
-        if len(block) < size:
-            raise ValueError("an archive ends within a record")
-        yield headers, block
-
-
-def read_archives(spark: SparkSession, path: str, id_type: str = "bigint") -> DataFrame:
+        parts, have = [], 0
+        while have < size:
+            if (line := next(lines, None)) is None:
+                raise ValueError("an archive ends within a record")
+            parts.append(line)
+            have += len(line) + 1
+        parts.append(b"")
+        yield start, at + size - start, headers, b"\n".join(parts)[:size]
+        at += have
+
+
+def read_archives(spark: SparkSession, path: str | list[str], id_type: str = "bigint") -> DataFrame:
     """The records of all archives under `path`, their stored payloads checked against their digests.
 
     A revisit has the digest and the size of the payload that it refers to, and no payload itself.
+    `offset` and `length` are a record's place in the unpacked archive. An archive is one task's, as
+    gzip can't be split, and goes through it line by line.
     """
+    names = [x.split()[0] for x in RECORD.format(id="string").split(", ")]
+
+    def record_batch(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = {"payload_bytes": pa.int64(), "offset": pa.int64(), "length": pa.int64()}
+        return pa.RecordBatch.from_arrays([pa.array(x, kinds.get(name, pa.string())) for name, x in zip(names, zip(*rows, strict=True), strict=True)], names=names)
+
+    def record(archive: str, offset: int, length: int, headers: dict[str, str], block: bytes) -> tuple:
+        head, _, payload = block.partition(b"\r\n\r\n")
+        digest, revisit = headers["warc-payload-digest"].removeprefix("sha1:"), headers["warc-type"] == "revisit"
+        size = int(next(x.split(b":")[1] for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:")))
+        if not revisit and (size != len(payload) or base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest):
+            raise ValueError(f"the payload of page {headers.get('x-page-id')} isn't what its header says")
+        return headers.get("x-page-id"), headers["warc-target-uri"], headers["warc-date"], headers["warc-type"], headers.get("x-refers-to-page-id"), digest, size, None if revisit else payload.decode(), archive, offset, length
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, content in zip(batch["path"].to_pylist(), batch["content"], strict=True):
-                rows: list[tuple] = []
-                held = 0
-                for headers, block in parse_records(gzip.GzipFile(fileobj=io.BytesIO(content.as_buffer()))):
-                    head, _, payload = block.partition(b"\r\n\r\n")
-                    digest, revisit = headers["warc-payload-digest"].removeprefix("sha1:"), headers["warc-type"] == "revisit"
-                    size = int(next(x.split(b":")[1] for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:")))
-                    if not revisit and (size != len(payload) or base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest):
-                        raise ValueError(f"the payload of page {headers.get('x-page-id')} isn't what its header says")
-                    rows.append((headers.get("x-page-id"), headers["warc-target-uri"], headers["warc-date"], headers["warc-type"], headers.get("x-refers-to-page-id"), digest, size, None if revisit else payload.decode(), name))
-                    held += len(payload)
-                    if held > 8 << 20:
-                        yield record_batch(rows)
-                        rows, held = [], 0
-                if rows:
+        every = ((path, line) for batch in batches for path, line in zip(batch["archive"].to_pylist(), batch["line"].to_pylist(), strict=True))
+        rows, held = [], 0
+        for archive, own in groupby(every, key=itemgetter(0)):
+            for found in parse_records(line for _, line in own):
+                rows.append(record(archive, *found))
+                held += len(found[-1])
+                if held > BATCH_BYTES:
                     yield record_batch(rows)
+                    rows, held = [], 0
+        if rows:
+            yield record_batch(rows)
 
-    names = ["page_id", "url", "captured", "record_type", "refers_to", "payload_digest", "payload_bytes", "payload", "archive"]
+    lines = spark.read.option("lineSep", "\n").option("pathGlobFilter", "*.gz").text(path)
+    lines = lines.select(F.col("_metadata.file_path").alias("archive"), F.col("value").cast("binary").alias("line"))
+    found = lines.mapInArrow(run, RECORD.format(id="string"))
+    return found.withColumns({x: F.col(x).cast(id_type) for x in ("page_id", "refers_to")})
 
-    def record_batch(rows: list[tuple]) -> pa.RecordBatch:
-        columns = [pa.array(x, pa.int64() if name == "payload_bytes" else pa.string()) for name, x in zip(names, zip(*rows, strict=True), strict=True)]
-        return pa.RecordBatch.from_arrays(columns, names=names)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("path", "content")
-    found = files.mapInArrow(run, RECORD.format(id="string"))
-    return found.withColumns({x: F.col(x).cast(id_type) for x in ("page_id", "refers_to")})
+def fetch(spark: SparkSession, index: DataFrame, id_type: str = "bigint") -> DataFrame:
+    """The records that the entries of an index stand for (a few: their archives' names come to the driver)."""
+    names = [r.archive for r in index.select("archive").distinct().collect()]
+    if not names:
+        return spark.createDataFrame([], RECORD.format(id=id_type))
+    return read_archives(spark, names, id_type).join(index.select("archive", "offset").distinct(), ["archive", "offset"], "left_semi")
 
 
 def url_key(url: str) -> str:
@@ -178,9 +211,10 @@ def url_key(url: str) -> str:
 def index_runs(records: DataFrame) -> DataFrame:
     """An index entry per record, in runs: one per input partition, sorted by URL key, time and page.
 
-    `run` names the run and `place` the position in it.
+    `run` names the run and `place` the position in it. A null url counts as an empty one, equal captures
+    stay as they are, and no records give no runs.
     """
-    kept = records.select("page_id", "url", "captured", "record_type", "refers_to", "payload_digest", "payload_bytes", F.spark_partition_id().alias("run"))
+    kept = records.select("page_id", "url", "captured", "record_type", "refers_to", "payload_digest", "payload_bytes", "archive", "offset", "length", F.spark_partition_id().alias("run"))
     names = [*kept.columns, "url_key"]
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -232,33 +266,34 @@ def merge_index(runs: DataFrame) -> DataFrame:
     """One capture index, in the order of URL key, time and page_id, from sorted runs.
 
     Ranges are bounded by samples of the whole key, so captures of one URL may fill several. Within
-    a range the slices of the runs, each in its own order, are merged. Nulls come first. No runs
-    give an empty index.
+    a range the slices of the runs, each in its own order, are merged; their keys are read some ahead.
+    `runs` should be a written table, as it is counted first. Nulls come first, equal captures follow
+    each other. No runs give an empty index.
     """
     names = [x for x in runs.columns if x not in ("run", "place")]
-    at = [names.index(x) for x in ("url_key", "captured", "page_id")]
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = list(batches)
+        held = list(batches)  # a range, so bounded; as Arrow columns
         if not held:
             return
         rows = pa.Table.from_batches(held)
-        places, run = rows["place"].to_pylist(), rows["run"].to_pylist()
-        columns = [rows[x].to_pylist() for x in names]
-        slices: dict[int, list[int]] = {}
-        for i, r in enumerate(run):
-            slices.setdefault(r, []).append(i)
-        keys = [tuple((v is not None, v) if v is not None else (False,) for v in x) for x in zip(*(columns[i] for i in at), strict=True)]
-
-        def source(own: list[int]) -> Iterator:
-            own.sort(key=places.__getitem__)  # blocks of a shuffle arrive in any order
-            return iter([(keys[i], i) for i in own])
-
-        order = pa.array([i for _, i in LoserTree([source(x) for x in slices.values()])], pa.int64())
-        merged = rows.select(names).take(order)
-        yield from merged.combine_chunks().to_batches()
-
-    dealt = runs.repartitionByRange("url_key", "captured", "page_id")
+        run = rows["run"].to_numpy()
+        order = np.lexsort((rows["place"].to_numpy(), run))  # blocks of a shuffle arrive in any order
+        keys = rows.select(["url_key", "captured", "page_id"])
+
+        def source(own: np.ndarray) -> Iterator:
+            for i in range(0, len(own), AHEAD):
+                part = own[i : i + AHEAD].tolist()
+                columns = [[(v is not None, v) if v is not None else (False,) for v in c.to_pylist()] for c in keys.take(part).columns]
+                yield from zip(zip(*columns, strict=True), part, strict=True)
+
+        cuts = np.flatnonzero(np.diff(run[order])) + 1
+        merged = iter(LoserTree([source(x) for x in np.split(order, cuts)]))
+        while part := [i for _, i in islice(merged, AHEAD)]:
+            yield from rows.select(names).take(part).combine_chunks().to_batches()
+
+    ranges = max(1, -(-runs.count() // RANGE_ROWS))
+    dealt = runs.repartitionByRange(max(ranges, int(runs.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "url_key", "captured", "page_id")
     return dealt.mapInArrow(merge, ", ".join(f"{x} {kind}" for x, kind in runs.dtypes if x in names))
 
 

@@ -204,6 +204,37 @@ def test_warc(spark):
     assert [r.url_key for r in merged] == sorted(r.url_key for r in merged)
     none = warc.index_runs(records.limit(0))
     assert warc.merge_index(none).count() == 0
+    wanted = [r for r in merged if r.page_id in (2, 5)]
+    found = warc.fetch(spark, spark.createDataFrame(wanted, warc.merge_index(none).schema)).collect()
+    assert {(r.page_id, r.payload) for r in found} == {(2, None), (5, pages[4][2])} and warc.fetch(spark, warc.merge_index(none)).count() == 0
+
+
+def test_warc_edges(spark, monkeypatch):
+    """Null and repeated ids, small payloads, archives of few records, equal captures over several ranges, and no page."""
+    monkeypatch.setattr(warc, "AHEAD", 2)
+    monkeypatch.setattr(warc, "BATCH_BYTES", 10)
+    pages = [(None, "http://a/", "same"), (1, "http://a/", "same"), (2, "http://a/", "same"), (2, "http://a/", "same"), (3, None, "ab"), (4, "http://a/", "ab"), (5, "http://a/", "\n"), (6, "http://a/", "x\r\n\r\n"), (7, "http://a/", "WARC/1.1\n")]
+    pages += [(10 + i, "http://one.key/", f"body {i}") for i in range(40)]
+    table = spark.createDataFrame([(*p, "2024-01-01T00:00:00Z") for p in pages], "page_id bigint, url string, html string, captured string").repartition(4)
+    folder = work_dir(spark)
+    warc.write_archives(table, f"{folder}/a", folder, min_bytes=3, records_per_file=7)
+    records = warc.read_archives(spark, f"{folder}/a").cache()
+    assert records.select("archive").distinct().count() >= 7
+    small = {(r.page_id, r.record_type, r.refers_to) for r in records.collect() if r.page_id is None or r.page_id < 10}
+    assert small == {(None, "revisit", 1), (1, "response", None), (2, "revisit", 1), (3, "response", None), (4, "response", None), (5, "response", None), (6, "response", None), (7, "response", None)}
+    assert {r.page_id: r.payload for r in records.collect() if r.page_id in (5, 6, 7)} == {5: "\n", 6: "x\r\n\r\n", 7: "WARC/1.1\n"}
+    from_runs = warc.merge_index(warc.index_runs(records)).collect()
+    want = sorted((warc.url_key(u or "urn:null"), -1 if i is None else i) for i, u, _ in pages)
+    assert [(r.url_key, -1 if r.page_id is None else r.page_id) for r in from_runs] == want
+    # Places are those of the unpacked archive.
+    import gzip
+
+    for r in from_runs[:20]:
+        with gzip.open(r.archive.removeprefix("file://").removeprefix("file:")) as f:
+            data = f.read()[r.offset : r.offset + r.length]
+        assert data.startswith(b"WARC/1.1\r\n") and (r.page_id is None or f"X-Page-Id: {r.page_id}\r\n".encode() in data)
+    warc.write_archives(table.limit(0), f"{folder}/none", folder + "/n")
+    assert warc.read_archives(spark, f"{folder}/none").count() == 0
 
 
 def test_loser_tree():
