@@ -7,15 +7,20 @@ rank. A word's result is kept for when the word comes again; that memory is boun
 
 The vocabulary is a `tokenizers` JSON file of the kind with word ends (BPE, end_of_word_suffix),
 whose normalizer is NFC and lower case and whose pre-tokenizer takes the matches of one pattern.
+Python's and the library's tables of characters are of different Unicode versions: `unsettled` finds
+the characters that they may treat differently, and a text with one of them is normalized and split,
+not merged, by the library itself.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import re
 import unicodedata
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +42,31 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def lowered(text: str) -> str:
+    """One character at a time has no final sigma, unlike str.lower."""
+    return unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()
+
+
+def unsettled(content: str) -> str:
+    """A pattern class of the characters that Python's tables don't know, or lower or split otherwise than the library."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_str(content)
+    pattern = regex.compile(json.loads(content)["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+    whole = np.array([unicodedata.category(chr(c)) for c in range(0x110000)])
+    every, odd = np.flatnonzero((whole != "Cn") & (whole != "Cs")).tolist(), np.flatnonzero(whole == "Cn").tolist()
+    for i in range(0, len(every), 1 << 14):
+        part = [chr(c) for c in every[i : i + (1 << 14)]]
+        # How many pieces a letter, the character twice and a letter make tells the character's class.
+        text = "".join(f" a{c}{c}a" for c in part)
+        theirs, ours = (np.bincount([at // 5 for at in found], minlength=len(part)) for found in ([at for _, (at, _) in library.pre_tokenizer.pre_tokenize_str(text)], [m.start() for m in pattern.finditer(text)]))
+        new = [library.normalizer.normalize_str(c) != (" " if c.isspace() else lowered(c)) for c in part]
+        odd += np.asarray(every[i : i + (1 << 14)])[(theirs != ours) | np.array(new)].tolist()
+    odd = np.sort(odd)
+    cuts = np.flatnonzero(np.diff(odd) != 1) + 1
+    return "[" + "".join(rf"\U{run[0]:08x}-\U{run[-1]:08x}" for run in np.split(odd, cuts)) + "]" if len(odd) else r"(?!)"
+
+
 #: A leaf of the tree: rank, position and the merged symbol's id, in so many bits of one integer, so
 #: that the smallest integer is the lowest rank, the leftmost of equals.
 RANK_BITS, PLACE_BITS, ID_BITS = 16, 27, 17
@@ -60,7 +90,9 @@ def raise_minimum(nodes: list[int], i: int, key: int) -> None:
 class Bpe:
     """Encoder and decoder of one vocabulary file's content."""
 
-    def __init__(self, content: str):
+    def __init__(self, content: str, odd: str):
+        """odd: what `unsettled` gives for the content."""
+        self.content, self.library, self.odd = content, None, re.compile(odd)
         spec = json.loads(content)
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]
@@ -74,10 +106,12 @@ class Bpe:
         chars = byte_characters()
         self.inner = [self.vocab.get(chars[b]) for b in range(256)]
         self.last = [self.vocab.get(chars[b] + self.end) for b in range(256)]
-        self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
-        #: The same pattern over ASCII texts in lower case.
-        self.ascii_pattern = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\x09-\x0D\x20a-z0-9]+")
+        split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.pattern = regex.compile(split)
+        #: The same pattern over ASCII texts, whose letters and digits `re` can name.
+        self.ascii_pattern = re.compile(split.replace(r"\p{L}", "A-Za-z").replace(r"\p{N}", "0-9"), re.ASCII)
         self.special_pattern = re.compile("(" + "|".join(map(re.escape, self.specials)) + ")")
+        self.special_mark = os.path.commonprefix(list(self.specials))
         #: Of two generations, so that words in use stay when the memory is full.
         self.cache: dict[str, tuple[str, int, str]] = {}
         self.older: dict[str, tuple[str, int, str]] = {}
@@ -131,11 +165,20 @@ class Bpe:
     def split(self, text: str) -> list[str]:
         if text.isascii():
             return self.ascii_pattern.findall(text.lower())
-        # One character at a time has no final sigma, unlike str.lower.
-        return self.pattern.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+        if self.odd.search(text):
+            return self.split_by_library(text)
+        return self.pattern.findall(lowered(text))
+
+    def split_by_library(self, text: str) -> list[str]:
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            self.library = Tokenizer.from_str(self.content)
+        text = self.library.normalizer.normalize_str(text)
+        return [text[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(text)]
 
     def pieces(self, text: str) -> list[tuple[str, int, str]]:
-        parts = self.special_pattern.split(text) if "<|" in text else [text]
+        parts = self.special_pattern.split(text) if self.specials and self.special_mark in text else [text]
         out: list[tuple[str, int, str]] = []
         for i, part in enumerate(parts):
             if i % 2:
@@ -161,10 +204,11 @@ def encode_decode(docs: DataFrame, vocab_path: str) -> DataFrame:
     encoded whole. Rows may repeat; columns other than doc_id and text are ignored.
     """
     with open(vocab_path, encoding="utf-8") as f:
-        content = docs.sparkSession.sparkContext.broadcast(f.read())
+        content = f.read()
+    shared = docs.sparkSession.sparkContext.broadcast((content, unsettled(content)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Bpe(content.value)
+        bpe = Bpe(*shared.value)
         for whole in batches:
             for batch in spans.slices(whole, "text"):
                 count, ids, decoded = [], [], []

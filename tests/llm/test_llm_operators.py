@@ -184,12 +184,22 @@ def test_bpe_equals_the_library(spark, docs):
     from tokenizers import Tokenizer
 
     path = public_tokenizers.path("word_bpe_49k.json")
-    library, own = Tokenizer.from_file(path), bpe.Bpe(open(path, encoding="utf-8").read())
+    content = open(path, encoding="utf-8").read()
+    library, own = Tokenizer.from_file(path), bpe.Bpe(content, bpe.unsettled(content))
     for t in [*filter(None, TEXTS), "<|endoftext|>A'LL ΣΑΣ<|startoftext|>", "a" * 2000, "ab" * 300 + "!?" * 50]:
         ids = library.encode(t, add_special_tokens=False).ids
         assert own.encode(t) == ids and own.decode(ids) == library.decode(ids, skip_special_tokens=False)
-    rows = got(bpe.encode_decode(docs, path), "doc_id", "n_tokens", "ids")
+    rows = got(bpe.encode_decode(docs, path), "doc_id", "n_tokens", "ids", "decoded")
     assert [r[1] for r in rows] == [len(own.encode(t or "")) for t in TEXTS] and rows[0][2] == ""
+    assert [r[3] for r in rows] == [library.decode(library.encode(t or "", add_special_tokens=False).ids, skip_special_tokens=False) for t in TEXTS]
+    assert bpe.encode_decode(empty(spark), path).count() == 0
+    # Every character there is, and each after a letter and before a digit.
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    for i in range(0, len(every), 4096):
+        for t in (" ".join(every[i : i + 4096]), "".join(f"a{c}1 " for c in every[i : i + 4096])):
+            assert own.encode(t) == library.encode(t, add_special_tokens=False).ids
+    many = spark.createDataFrame([(None, "one two"), (1, "one two"), (1, "x"), (1, "x")], "doc_id bigint, text string")
+    assert bpe.encode_decode(many, path).count() == 4
 
 
 def test_warc(spark):
