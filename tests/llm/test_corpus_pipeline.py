@@ -9,8 +9,8 @@ import test_llm_operators as small
 import corpus_pipeline as pipeline
 from shapelog.llm import toxicity
 
-SCHEMA = "doc_id bigint, text string, lang string, score double, rid string, doc string, n_tokens string, kept string, contaminated string, component_id string"
-REST = ("en", 0.75, "r", "d", "t", "k", "c", "i")
+SCHEMA = "doc_id bigint, text string, lang string, score double, rid string, doc string, n_tokens string, kept string, contaminated string, component_id string, digest string, place string, _place string, the_id string, size string, _text string, _doc string"
+REST = ("en", 0.75, "r", "d", "t", "k", "c", "i", "g", "p", "q", "h", "s", "x", "y")
 ITEMS = [(1, small.PASSAGE), (2, None), (3, "zeta zeta")]
 TOXIC = [f"vile scum {small.text(8, 200 + i)}" for i in range(40)]
 CLEAN = [small.text(12, 300 + i) for i in range(60)]
