@@ -10,23 +10,23 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from shapelog.functions.text import let, strip
+from shapelog.functions.text import let, let_all, strip
 
 # Month names.
 MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 
-# The shapes, with the group of each part (year, month, day, hour, minute, second, fraction).
+# The shapes, and the groups that hold year, month, day, hour, minute, second and fraction.
 ISO = r"^(\d{4})-(\d{2})-(\d{2})[T ](\d{2}):(\d{2}):(\d{2})(?:[.,](\d+))?(?:Z|([+-])(\d{2}):?(\d{2}))?$"
 SHAPES = [
-    (ISO, (1, 2, 3, 4, 5, 6, 7)),
-    (r"^([A-Z][a-z]{2})\s+(\d{1,2})\s+(\d{4})\s+(\d{2}):(\d{2}):(\d{2})$", (3, 1, 2, 4, 5, 6, None)),
-    (r"^([A-Z][a-z]{2})\s+(\d{1,2})\s+(\d{2}):(\d{2}):(\d{2})$", (None, 1, 2, 3, 4, 5, None)),
-    (r"^(\d{2})-(\d{2}) (\d{2}):(\d{2}):(\d{2})\.(\d+)$", (None, 1, 2, 3, 4, 5, 6)),
-    (r"^\[(\d{2})\.(\d{2}) (\d{2}):(\d{2}):(\d{2})\]$", (None, 1, 2, 3, 4, 5, None)),
-    (r"^(\d{2})/(\d{2})/(\d{2}) (\d{2}):(\d{2}):(\d{2})$", (1, 2, 3, 4, 5, 6, None)),
-    (r"^(\d{2})(\d{2})(\d{2}) (\d{2})(\d{2})(\d{2})$", (1, 2, 3, 4, 5, 6, None)),
-    (r"^(\d{4})(\d{2})(\d{2})-(\d{1,2}):(\d{1,2}):(\d{1,2}):(\d+)$", (1, 2, 3, 4, 5, 6, 7)),
-    (r"^(\d{4})\.(\d{2})\.(\d{2})$", (1, 2, 3, None, None, None, None)),
+    (ISO, "$1 $2 $3 $4 $5 $6 $7 $8$9 $8$10"),
+    (r"^([A-Z][a-z]{2})\s+(\d{1,2})\s+(\d{4})\s+(\d{2}):(\d{2}):(\d{2})$", "$3 $1 $2 $4 $5 $6 "),
+    (r"^([A-Z][a-z]{2})\s+(\d{1,2})\s+(\d{2}):(\d{2}):(\d{2})$", " $1 $2 $3 $4 $5 "),
+    (r"^(\d{2})-(\d{2}) (\d{2}):(\d{2}):(\d{2})\.(\d+)$", " $1 $2 $3 $4 $5 $6"),
+    (r"^\[(\d{2})\.(\d{2}) (\d{2}):(\d{2}):(\d{2})\]$", " $1 $2 $3 $4 $5 "),
+    (r"^(\d{2})/(\d{2})/(\d{2}) (\d{2}):(\d{2}):(\d{2})$", "20$1 $2 $3 $4 $5 $6 "),
+    (r"^(\d{2})(\d{2})(\d{2}) (\d{2})(\d{2})(\d{2})$", "20$1 $2 $3 $4 $5 $6 "),
+    (r"^(\d{4})(\d{2})(\d{2})-(\d{1,2}):(\d{1,2}):(\d{1,2}):(\d+)$", "$1 $2 $3 $4 $5 $6 $7"),
+    (r"^(\d{4})\.(\d{2})\.(\d{2})$", "$1 $2 $3 0 0 0 "),
 ]
 EPOCH = r"^\d{10}$"
 
@@ -38,43 +38,38 @@ def _from_epoch(seconds: Column) -> Column:
     return F.concat(day, F.lit("T"), F.concat_ws(":", *(F.lpad(p.cast("string"), 2, "0") for p in parts)), F.lit(".000Z"))
 
 
-def _from_parts(text: Column, pattern: str, groups: tuple, now: Column, apply_offset: bool) -> Column:
-    def part(i: int | None, default: int = 0) -> Column:
-        return F.lit(default) if i is None else F.regexp_extract(text, pattern, i).cast("int")
-
-    year_at, month_at, day_at, *clock_at, fraction_at = groups
-    named = pattern.startswith(r"^([A-Z]")
-    name = F.regexp_extract(text, pattern, month_at)
-    month = F.array_position(F.array(*map(F.lit, MONTHS)), name).cast("int") if named else part(month_at)
-    day = part(day_at)
-    hour, minute, second = (part(i) for i in clock_at)
-    if year_at is None:
-        this = F.year(now)
-        year = F.when(F.try_make_timestamp_ntz(this, month, day, F.lit(0), F.lit(0), F.lit(0)) > F.to_date(now).cast("timestamp_ntz"), this - 1).otherwise(this)
-    elif pattern.startswith((r"^(\d{2})/", r"^(\d{2})(")):
-        year = part(year_at) + 2000
-    else:
-        year = part(year_at)
-    digits = F.lit("000") if fraction_at is None else F.rpad(F.substring(F.regexp_extract(text, pattern, fraction_at), 1, 3), 3, "0")
-    made = F.try_make_timestamp_ntz(year, month, day, hour, minute, second.cast("decimal(8,6)"))
-    if apply_offset and pattern == ISO:
-        sign = F.when(F.regexp_extract(text, ISO, 8) == "-", -1).otherwise(1)
-        minutes = F.coalesce(F.regexp_extract(text, ISO, 9).try_cast("int") * 60 + F.regexp_extract(text, ISO, 10).try_cast("int"), F.lit(0))
-        made = made - F.make_dt_interval(mins=sign * minutes)
+def _from_parts(parts: Column, now: Column, apply_offset: bool) -> Column:
+    """parts: year (empty: none), month (a number or a name), day, hour, minute, second, fraction and, if there is one, the offset."""
+    month = F.coalesce(parts[1].try_cast("int"), F.array_position(F.array(*map(F.lit, MONTHS)), parts[1]).cast("int"))
+    day, second = parts[2].try_cast("int"), parts[5].try_cast("int")
+    this = F.year(now)
+
+    def dated(x: dict[str, Column]) -> Column:
+        to_come = F.try_make_timestamp_ntz(this, x["month"], x["day"], F.lit(0), F.lit(0), F.lit(0)) > F.to_date(now).cast("timestamp_ntz")
+        return let(F.when(parts[0] != "", parts[0].try_cast("int")).when(to_come, this - 1).otherwise(this), lambda year: timed(year, x))
+
+    def timed(year: Column, x: dict[str, Column]) -> Column:
+        made = F.try_make_timestamp_ntz(year, x["month"], x["day"], parts[3].try_cast("int"), parts[4].try_cast("int"), x["second"].cast("decimal(8,6)"))
+        if apply_offset:
+            made = made - F.make_dt_interval(hours=F.coalesce(F.get(parts, F.lit(7)).try_cast("int"), F.lit(0)), mins=F.coalesce(F.get(parts, F.lit(8)).try_cast("int"), F.lit(0)))
+        return let(F.when((x["second"] < 60) & (year >= 1), made), printed)
 
     def printed(at: Column) -> Column:
+        digits = F.rpad(F.substring(parts[6], 1, 3), 3, "0")
         return F.concat(F.replace(F.substring(at.cast("string"), 1, 19), F.lit(" "), F.lit("T")), F.lit("."), digits, F.lit("Z"))
 
-    return let(F.when((second < 60) & (year >= 1), made), printed)
+    return let_all({"month": month, "day": day, "second": second}, dated)
 
 
 def normalize_timestamp(text: Column, now: Column | None = None, apply_offset: bool = False) -> Column:
-    """The first shape that matches and is a real date gives the time; null if none does."""
+    """The shape that matches gives the time; null if none does, or if it is no real date. No two shapes match one text."""
     now = F.current_timestamp() if now is None else now
 
     def shapes(raw: Column) -> Column:
-        found = [F.when(raw.rlike(p), _from_parts(raw, p, g, now, apply_offset)) for p, g in SHAPES]
-        return F.coalesce(*found, let(F.when(raw.rlike(EPOCH), raw).cast("bigint"), _from_epoch))
+        found = F
+        for pattern, parts in SHAPES:
+            found = found.when(raw.rlike(pattern), F.regexp_replace(raw, pattern, parts))
+        return let(F.split(found.otherwise(None), " ", -1), lambda parts: F.coalesce(F.when(parts.isNotNull(), _from_parts(parts, now, apply_offset)), let(F.when(raw.rlike(EPOCH), raw).cast("bigint"), _from_epoch)))
 
     return let(strip(text), shapes)
 

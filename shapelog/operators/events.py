@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shapelog.functions import parse
 from shapelog.functions.scalars import lineage
-from shapelog.functions.text import let, strip
+from shapelog.functions.text import Stages, let, settled, strip
 from shapelog.operators import normalize, templates
 from shapelog.operators.formats import with_format
 
@@ -25,27 +25,32 @@ def with_fields(lines: DataFrame, books: list[dict] | None = None, shapes: list[
         "json": lambda: parse.parse_json(raw), "csv": lambda: parse.parse_csv(header, raw), "kv_syslog": lambda: parse.parse_kv(raw), "cef": lambda: parse.parse_cef(raw),
         "leef": lambda: parse.parse_leef(raw), "syslog5424": lambda: parse.parse_rfc5424(raw), "coded_syslog": lambda: parse.parse_coded(raw, books),
     }
-    fields = F.when(form.isNull(), None)
-    for shape in parsers if shapes is None else [s for s in parsers if s in shapes]:
-        fields = fields.when(form == shape, parsers[shape]())
-    return lines.withColumn("fields", fields.cast(MAP))
+    fields, stages = F.when(form.isNull(), None), Stages()
+    with stages:
+        for shape in parsers if shapes is None else [s for s in parsers if s in shapes]:
+            with stages.only(form == shape):
+                fields = fields.when(form == shape, parsers[shape]())
+    return settled(stages.add(lines, fields=fields.cast(MAP)), "lines")
 
 
-def structured_event(form: Column, fields: Column, raw: Column, shapes: list[str] | None = None) -> Column:
+def structured_event(stages: Stages, form: Column, fields: Column, raw: Column, shapes: list[str] | None = None) -> Column:
     builders = {
         "json": lambda f: normalize.json_event(f, raw), "csv": normalize.csv_event, "kv_syslog": normalize.kv_event, "cef": normalize.cef_event, "leef": normalize.leef_event,
         "syslog5424": normalize.rfc5424_event, "coded_syslog": normalize.coded_event,
     }
     event = F
     for shape in builders if shapes is None else [s for s in builders if s in shapes]:
-        event = event.when(form == shape, let(fields, builders[shape]))
+        with stages.only(form == shape):
+            event = event.when(form == shape, builders[shape](fields))
     return event
 
 
-def _finish(rows: DataFrame, now: Column | None) -> DataFrame:
+def _finish(rows: DataFrame, stages: Stages, event: Column, now: Column | None) -> DataFrame:
+    with stages:
+        whole = normalize.finalize(event, now)
     own = lineage(F.col("source_path"), F.col("source_name"), F.col("line_number"), F.col("raw"))
-    done = rows.withColumn("event", normalize.finalize(F.col("event"), now)).withColumn("lineage", own)
-    return done.select(F.col("lineage.event_id").alias("event_id"), "event.*", "lineage", "raw")
+    done = stages.add(rows.select("source_path", "source_name", "line_number", "raw", *(c for c in ("format", "fields", "template", "variables") if c in rows.columns)), event=whole, lineage=own)
+    return settled(done.select(F.col("lineage.event_id").alias("event_id"), "event.*", "lineage", "raw"), "events")
 
 
 def parsed_lines(lines: DataFrame, books: list[dict] | None = None, shapes: list[str] | None = None) -> DataFrame:
@@ -59,12 +64,17 @@ def parsed_lines(lines: DataFrame, books: list[dict] | None = None, shapes: list
 
 def template_events(hits: DataFrame, now: Column | None = None) -> DataFrame:
     """Events of lines that `templates.match` or `templates.mine_online` gave templates."""
-    return _finish(hits.withColumn("event", normalize.template_event(F.col("template"), F.col("variables"), F.col("raw"))), now)
+    stages = Stages()
+    with stages:
+        event = normalize.template_event(F.col("template"), F.col("variables"), F.col("raw"))
+    return _finish(hits, stages, event, now)
 
 
 def structured_events(parsed: DataFrame, now: Column | None = None, shapes: list[str] | None = None) -> DataFrame:
-    rows = parsed.filter("fields IS NOT NULL").withColumn("event", structured_event(F.col("format"), F.col("fields"), F.col("raw"), shapes))
-    return _finish(rows, now)
+    rows, stages = parsed.filter("fields IS NOT NULL"), Stages()
+    with stages:
+        event = structured_event(stages, F.col("format"), F.col("fields"), F.col("raw"), shapes)
+    return _finish(rows, stages, event, now)
 
 
 def events(lines: DataFrame, now: Column | None = None, mined: DataFrame | None = None, codebook: DataFrame | None = None, books: list[dict] | None = None, mode: str = "converged") -> DataFrame:

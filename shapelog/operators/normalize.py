@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shapelog.functions.profile import extract_timestamp, profile_line
 from shapelog.functions.scalars import guess_action, ipv4s, normalize_action, normalize_protocol, to_int
-from shapelog.functions.text import extract_all, filled, first_filled, get, last_wins, let, strip
+from shapelog.functions.text import extract_all, filled, first_filled, get, last_wins, let, let_all, strip
 from shapelog.functions.timestamps import epoch_to_iso, normalize_timestamp
 from shapelog.functions.parse import parse_kv
 from shapelog.schema import EVENT_FIELDS
@@ -68,10 +68,14 @@ def rfc5424_event(f: Column) -> Column:
 
 def json_event(f: Column, raw: Column) -> Column:
     """Whole numbers may be JSON numbers of any kind; those of a repeated key come from the map."""
+    return let(F.try_parse_json(raw), lambda whole: _from_json(f, whole))
+
+
+def _from_json(f: Column, whole: Column) -> Column:
     def number(key: str) -> Column:
-        return F.coalesce(F.try_variant_get(F.try_parse_json(raw), f"$.{key}", "bigint"), to_int(get(f, key)))
+        return F.coalesce(F.try_variant_get(whole, f"$.{key}", "bigint"), to_int(get(f, key)))
 
-    start = F.coalesce(F.try_variant_get(F.try_parse_json(raw), "$.start", "bigint").cast("string"), get(f, "start"))
+    start = F.coalesce(F.try_variant_get(whole, "$.start", "bigint").cast("string"), get(f, "start"))
     return _event(
         timestamp=epoch_to_iso(start), vendor=F.lit("cloud"), source_format=F.lit("json"), event_type=F.lit("flow"), action=normalize_action(get(f, "action")),
         src_ip=get(f, "srcaddr"), src_port=number("srcport"), dst_ip=get(f, "dstaddr"), dst_port=number("dstport"), protocol=normalize_protocol(get(f, "protocol")),
@@ -103,15 +107,21 @@ def template_event(template: Column, variables: Column, raw: Column) -> Column:
     """
     colon = r"(?U)\b([A-Za-z_]\w*):\s+(\S+)"
     pairs = last_wins(F.transform(extract_all(raw, colon, 1), F.lower), extract_all(raw, colon, 2))
-    seen = F.struct(template.alias("template"), variables.alias("variables"), profile_line(raw).alias("profile"), parse_kv(raw).alias("kv"), pairs.alias("pairs"), ipv4s(raw).alias("ips"))
-    return let(seen, _from_seen)
+    kinds = ["date", "time", "ip_port_flow", "ip_port", "ip", "port_or_number"]
+    seen = {"kv": parse_kv(raw), "pairs": pairs, "ips": ipv4s(raw), "profile": profile_line(raw)}
+
+    def typed(kind: str) -> Column:
+        return F.filter(variables, lambda v: v["guessed_type"] == kind)
+
+    seen |= {k: typed(k) for k in kinds}
+    return let_all(seen, lambda x: _from_seen(template, x))
 
 
-def _from_seen(x: Column) -> Column:
-    template, variables, profile, kv, pairs = (x[n] for n in ("template", "variables", "profile", "kv", "pairs"))
+def _from_seen(template: Column, x: dict[str, Column]) -> Column:
+    profile, kv, pairs = x["profile"], x["kv"], x["pairs"]
 
     def of(kind: str, field: str = "value", place: int = 1) -> Column:
-        return F.try_element_at(F.filter(variables, lambda v: v["guessed_type"] == kind), F.lit(place))[field]
+        return F.try_element_at(x[kind], F.lit(place))[field]
 
     def clean(text: Column) -> Column:
         return F.rtrim(text, F.lit(",;:.!?)"))
@@ -130,25 +140,23 @@ def _from_seen(x: Column) -> Column:
     dst0_port = F.when(has_flow, of("ip_port_flow", "dst_port")).otherwise(of("ip_port", "port", 2))
     src1 = first_filled(kv_src, src0, of("ip"))
     dst1 = first_filled(kv_dst, dst0, of("ip", place=2), F.when(filled(kv_src).isNotNull(), of("ip")))
-    ends = F.struct(src1.alias("src"), dst1.alias("dst"), src0_port.alias("src_port"), dst0_port.alias("dst_port"))
     received = to_int(F.coalesce(any_of("bytes_received", "rcvd", "received"), first_filled(get(pairs, "len"), get(pairs, "bytes"))))
     packets = to_int(F.coalesce(any_of("packets", "pkts"), filled(get(pairs, "packets"))))
     protocol = normalize_protocol(F.coalesce(any_of("proto", "protocol"), filled(get(pairs, "proto"))))
 
-    found = F.struct(ends.alias("ends"), stamp.alias("stamp"), alternative.alias("alternative"), user.alias("user"), received.alias("received"), packets.alias("packets"), protocol.alias("protocol"))
+    found = {"src": src1, "dst": dst1, "src_port": src0_port, "dst_port": dst0_port, "stamp": stamp, "alternative": alternative, "user": user, "received": received, "packets": packets, "protocol": protocol}
 
     def points(n: int, value: Column) -> Column:
         return F.when(value.isNotNull(), n).otherwise(0)
 
-    def addresses(y: Column) -> Column:
-        src = F.coalesce(y["ends"]["src"], F.try_element_at(x["ips"], F.lit(1)))
-        dst = F.coalesce(y["ends"]["dst"], F.when(y["ends"]["src"].isNull(), F.try_element_at(x["ips"], F.lit(2))))
-        return let(F.struct(src.alias("src"), F.when(src.isNull() | (dst != src), dst).alias("dst")), lambda z: build(y, z))
+    def addresses(y: dict[str, Column]) -> Column:
+        src = F.coalesce(y["src"], F.try_element_at(x["ips"], F.lit(1)))
+        dst = F.coalesce(y["dst"], F.when(y["src"].isNull(), F.try_element_at(x["ips"], F.lit(2))))
+        return let_all({"src": src, "dst": dst}, lambda z: build(y, z["src"], F.when(z["src"].isNull() | (z["dst"] != z["src"]), z["dst"])))
 
-    def build(y: Column, z: Column) -> Column:
-        src, dst = z["src"], z["dst"]
-        src_port = F.when(src.isNotNull(), F.coalesce(to_int(y["ends"]["src_port"]), to_int(of("port_or_number"))))
-        dst_port = F.when(dst.isNotNull(), F.coalesce(to_int(y["ends"]["dst_port"]), to_int(of("port_or_number", place=2))))
+    def build(y: dict[str, Column], src: Column, dst: Column) -> Column:
+        src_port = F.when(src.isNotNull(), F.coalesce(to_int(y["src_port"]), to_int(of("port_or_number"))))
+        dst_port = F.when(dst.isNotNull(), F.coalesce(to_int(y["dst_port"]), to_int(of("port_or_number", place=2))))
         total = (
             F.lit(30) + F.when(filled(profile["timestamp"]).isNotNull(), 10).when(y["alternative"].isNotNull(), 5).otherwise(0)
             + points(5, profile["severity"]) + points(5, profile["host"]) + points(5, profile["process"]) + points(5, y["user"]) + points(10, src) + points(5, y["received"])
@@ -160,7 +168,7 @@ def _from_seen(x: Column) -> Column:
             message=template, confidence=F.least(total, F.lit(75)) / 100.0,
         )
 
-    return let(found, addresses)
+    return let_all(found, addresses)
 
 
 def finalize(event: Column, now: Column | None = None) -> Column:

@@ -498,7 +498,7 @@ def sql_functions_query(spark, sf_dir):
 def streamed(spark, sf_dir):
     """The same events by a stream of files as by a batch."""
     folder = shared_folder(spark)
-    base(spark, sf_dir).selectExpr(f"{LINES['kv_syslog']} AS value").coalesce(1).write.text(f"{folder}/in")
+    base(spark, sf_dir).repartition(1).sortWithinPartitions("event_id").selectExpr(f"{LINES['kv_syslog']} AS value").write.text(f"{folder}/in")
     started = stream_events(spark, f"{folder}/in", f"{folder}/out", f"{folder}/state")
     started.awaitTermination()
     return spark.read.parquet(f"{folder}/out").groupBy("action").agg(F.count("*").alias("events"), F.sum("lineage_line_number").alias("numbers"))

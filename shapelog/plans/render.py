@@ -61,7 +61,10 @@ EXPECTED = {
 
 
 def base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(*[x.strip() for x in _items(BASE)])
+    """The events as columns to render lines from; a table of a few blocks is dealt over all cores, as log files' splits are."""
+    events, cores = spark.read.parquet(f"{sf_dir}/events.parquet"), spark.sparkContext.defaultParallelism
+    events = events.repartition(cores) if events.rdd.getNumPartitions() < cores else events
+    return events.selectExpr(*[x.strip() for x in _items(BASE)])
 
 
 def _items(text: str) -> list[str]:

@@ -4,12 +4,17 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import groupby, islice
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-LINES = "source_path string, source_name string, line_number bigint, raw string"
+#: Splits are broadcast up to this many bytes, as measured.
+BROADCAST_BYTES = 64 << 20
+#: Bytes unpacked at once.
+UNPACKED = 4 << 20
 
 
 def source_path(uri: Column) -> Column:
@@ -22,34 +27,34 @@ def source_name(path: Column) -> Column:
     return F.regexp_replace(F.regexp_extract(path, r"([^/]*)$", 1), r"(?<=.)\.[^.]*$", "")
 
 
-def is_gzip(spark: SparkSession, path: str) -> bool:
-    """By the first two bytes, read through Hadoop's file system so that any store works."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    stream = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(where)
-    try:
-        return stream.read() == 0x1F and stream.read() == 0x8B
-    finally:
-        stream.close()
+def survey(rows: DataFrame) -> DataFrame:
+    """Of each split of (uri, block, value, at) rows: its first `at`, its lines n, lines before it in the file, and whether the file is gzip by its first bytes.
 
-
-def list_files(spark: SparkSession, paths: list[str]) -> list[str]:
-    return [r.path for r in spark.read.format("binaryFile").load(paths).select("path").collect()]
+    One scan that sends a row a split; the result is kept, as it decides how the lines are read.
+    """
+    magic = F.substring(F.col("value").cast("binary"), 1, 2) == F.lit(bytearray(b"\x1f\x8b"))
+    counts = rows.groupBy("uri", "block").agg(F.min("at").alias("start"), F.count("*").alias("n"), F.min(F.when(magic & (F.col("block") == 0), F.col("at"))).alias("magic"))
+    before, whole = Window.partitionBy("uri").orderBy("block").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("uri")
+    found = counts.select("uri", "block", "start", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("off"), F.coalesce(F.bool_or(F.col("magic") == F.col("start")).over(whole), F.lit(False)).alias("gzip"))
+    return found.persist()
 
 
-def numbered(rows: DataFrame) -> DataFrame:
+def numbered(rows: DataFrame, splits: DataFrame | None = None, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Exact line numbers of (uri, block, value) rows of files that are read in splits.
 
-    Lines are numbered within each split; the splits' counts, one row each, are summed over the
-    splits before. A file of any size is read by as many tasks as it has splits.
+    Rows of a split come in order, so a line's number is its place after the split's first line, and the
+    lines of the splits before. No line is shuffled: only a row a split is, broadcast as long as those
+    rows are few. Should the files be split otherwise than when they were surveyed, an error says so.
     """
-    rows = rows.withColumn("at", F.monotonically_increasing_id())
-    own = rows.withColumn("rn", F.row_number().over(Window.partitionBy("uri", "block").orderBy("at")))
-    counts = rows.groupBy("uri", "block").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("uri").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("uri", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("off"))
-    joined = own.join(offsets, ["uri", "block"])
+    if "at" not in rows.columns:
+        rows = rows.withColumn("at", F.monotonically_increasing_id())
+    splits = survey(rows) if splits is None else splits
+    small = (splits.agg(F.sum(F.octet_length("uri") + 64)).first()[0] or 0) <= broadcast_bytes
+    joined = rows.join(F.broadcast(splits) if small else splits.hint("merge"), ["uri", "block"], "left").filter("gzip IS NULL OR NOT gzip")
+    place = F.col("at") - F.col("start")
+    number = F.when(place.between(0, F.col("n") - 1), place + F.col("off") + 1).otherwise(F.raise_error(F.lit("the files are split otherwise than when they were surveyed")).cast("bigint"))
     path = source_path(F.col("uri"))
-    return joined.select(path.alias("source_path"), source_name(path).alias("source_name"), (F.col("rn") + F.col("off")).cast("bigint").alias("line_number"), F.make_valid_utf8("value").alias("raw"))
+    return joined.select(path.alias("source_path"), source_name(path).alias("source_name"), number.alias("line_number"), F.make_valid_utf8("value").alias("raw"))
 
 
 def split_lines(text: DataFrame) -> DataFrame:
@@ -58,31 +63,37 @@ def split_lines(text: DataFrame) -> DataFrame:
 
 
 def read_misnamed_gzip(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Gzip files without the extension that Spark's readers go by; each is one task, as gzip can't be split."""
+    """Gzip files without the extension that Spark's readers go by, unpacked as a stream.
+
+    Their bytes come as rows of what newlines part, through the same reader as lines, so any store and any
+    size works; a file's rows meet in one task, in order, as gzip can't be split.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path, content in zip(batch["path"].to_pylist(), batch["content"], strict=True):
-                data, number, tail = content.as_buffer(), 0, b""
-                unpack = zlib.decompressobj(31)
-                view = memoryview(data)
-                for at in range(0, len(view), 1 << 20):
-                    tail += unpack.decompress(view[at : at + (1 << 20)])
-                    while unpack.eof and unpack.unused_data:  # members may follow each other
-                        rest, unpack = unpack.unused_data, zlib.decompressobj(31)
-                        tail += unpack.decompress(rest)
+        rows = ((path, part) for batch in batches for path, part in zip(batch["uri"].to_pylist(), batch["part"].to_pylist(), strict=True))
+        for path, own in groupby(rows, key=itemgetter(0)):
+            number, tail, unpack = 0, b"", zlib.decompressobj(31)
+            while held := list(islice(own, 1024)):
+                data = b"".join(part + b"\n" for _, part in held)
+                while data:
+                    tail += unpack.decompress(data, UNPACKED)
+                    data = unpack.unconsumed_tail
+                    if unpack.eof:  # members may follow each other
+                        data, unpack = unpack.unused_data.lstrip(b"\n\0"), zlib.decompressobj(31)
                     *lines, tail = tail.replace(b"\r\n", b"\n").split(b"\n")
                     if lines:
                         yield out(path, number, lines)
                         number += len(lines)
-                if tail:
-                    yield out(path, number, [tail])
+            if tail:
+                yield out(path, number, [tail])
 
     def out(path: str, number: int, lines: list[bytes]) -> pa.RecordBatch:
         columns = [pa.array([path] * len(lines)), pa.array(range(number + 1, number + len(lines) + 1), pa.int64()), pa.array([x.decode("utf-8", "replace") for x in lines])]
         return pa.RecordBatch.from_arrays(columns, names=["uri", "line_number", "raw"])
 
-    found = spark.read.format("binaryFile").load(paths).select("path", "content").mapInArrow(run, "uri string, line_number bigint, raw string")
+    raw = split_lines(spark.read.option("lineSep", "\n").text(paths)).withColumn("at", F.monotonically_increasing_id())
+    parts = raw.select("uri", "block", "at", F.col("value").cast("binary").alias("part")).repartition("uri").sortWithinPartitions("uri", "block", "at")
+    found = parts.mapInArrow(run, "uri string, line_number bigint, raw string")
     path = source_path(F.col("uri"))
     return found.select(path.alias("source_path"), source_name(path).alias("source_name"), "line_number", "raw")
 
@@ -90,17 +101,15 @@ def read_misnamed_gzip(spark: SparkSession, paths: list[str]) -> DataFrame:
 def read_lines(spark: SparkSession, *paths: str, detect_gzip: bool = True) -> DataFrame:
     """source_path, source_name, line_number (from 1, blank lines count) and raw of every line.
 
-    Compressed files are known by their extension; with detect_gzip also by their first bytes, for
-    which the driver opens each file without one. Invalid UTF-8 becomes U+FFFD. Blank lines are
-    kept here, since formats are told from the first lines; `events` drops them.
+    Compressed files are known by their extension; with detect_gzip also by their first bytes, which the
+    scan that counts the lines looks at; only such files' names come to the driver. Invalid UTF-8 becomes
+    U+FFFD. Blank lines are kept here, since formats are told from the first lines; `events` drops them.
     """
-    named = list(paths)
-    gzipped = []
-    if detect_gzip:
-        files = list_files(spark, named)
-        gzipped = [p for p in files if not p.endswith((".gz", ".bz2", ".zst", ".lz4", ".snappy", ".deflate")) and is_gzip(spark, p)]
-        named = [p for p in files if p not in set(gzipped)] if gzipped else named
-    parts = ([numbered(split_lines(spark.read.text(named)))] if named else []) + ([read_misnamed_gzip(spark, gzipped)] if gzipped else [])
-    if not parts:
-        return spark.createDataFrame([], LINES)
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    if spark.conf.get("spark.sql.files.minPartitionNum", None) is None:
+        # Else files are split by the cores there are at the time, which may change while executors come and go.
+        spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))
+    rows = split_lines(spark.read.text(list(paths))).withColumn("at", F.monotonically_increasing_id())
+    splits = survey(rows)
+    lines = numbered(rows, splits if detect_gzip else splits.withColumn("gzip", F.lit(False)))
+    gzipped = [r.uri for r in splits.filter("gzip").select("uri").distinct().collect()] if detect_gzip else []
+    return lines.unionByName(read_misnamed_gzip(spark, gzipped)) if gzipped else lines

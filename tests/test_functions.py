@@ -122,3 +122,25 @@ def test_sinks_and_onboarding(spark, tmp_path):
     onboard.save_registry(onboard.register(seen, "2024"), str(tmp_path / "reg.json"))
     state = onboard.load_registry(spark, str(tmp_path / "reg.json")).first()
     assert (state.files_processed, state.detected_format, state.last_file) == (2, "cef", "/a/2")
+
+
+def test_misnamed_gzip_of_members_and_sizes(spark, tmp_path, monkeypatch):
+    """Members one after another, lines over their edges, much data from few bytes, no newline at the end."""
+    text = "".join(f"a={i} b=é c={i * i}\n" for i in range(30_000))
+    data = text.encode()
+    (tmp_path / "members.log").write_bytes(gzip.compress(data[:1000]) + gzip.compress(data[1000:2500]) + gzip.compress(data[2500:]))
+    (tmp_path / "repeated.log").write_bytes(gzip.compress(b"x" * 9_000_000 + b"\nlast"))
+    (tmp_path / "plain.log").write_text("one\n\ntwo")
+    rows = read_lines(spark, str(tmp_path)).collect()
+    found = {}
+    for r in rows:
+        found.setdefault(r.source_name, []).append((r.line_number, r.raw))
+    assert sorted(found["members"]) == list(enumerate(text.splitlines(), 1))
+    assert [(n, len(x)) for n, x in sorted(found["repeated"])] == [(1, 9_000_000), (2, 4)]
+    assert sorted(found["plain"]) == [(1, "one"), (2, ""), (3, "two")]
+
+
+def test_numbering_shuffles_no_line(spark, tmp_path):
+    (tmp_path / "some.log").write_text("x\n" * 100)
+    plan = read_lines(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan.split("InMemoryTableScan")[0]
