@@ -10,6 +10,7 @@ from shapelog.functions.scalars import lineage
 from shapelog.functions.text import Stages, let, settled, strip
 from shapelog.operators import normalize, templates
 from shapelog.operators.formats import with_format
+from shapelog.sources.shared import shared_folder, written
 
 MAP = "map<string,string>"
 
@@ -77,6 +78,17 @@ def structured_events(parsed: DataFrame, now: Column | None = None, shapes: list
     return _finish(rows, stages, event, now)
 
 
+def parts(lines: DataFrame, books: list[dict] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The parsed lines, and those that no parser takes: these are written once, as templates are trained on them and matched with them."""
+    parsed = parsed_lines(lines, books)
+    rest = parsed.filter("fields IS NULL").select("source_path", "source_name", "line_number", "raw")
+    return parsed, written(rest, f"{shared_folder(lines.sparkSession)}/rest")
+
+
+def assembled(parsed: DataFrame, hits: DataFrame, now: Column | None = None) -> DataFrame:
+    return structured_events(parsed, now).unionByName(template_events(hits, now))
+
+
 def events(lines: DataFrame, now: Column | None = None, mined: DataFrame | None = None, codebook: DataFrame | None = None, books: list[dict] | None = None, mode: str = "converged") -> DataFrame:
     """The event of every line that isn't blank.
 
@@ -84,10 +96,6 @@ def events(lines: DataFrame, now: Column | None = None, mined: DataFrame | None
     already. mined: templates of an earlier run; else the lines at hand train their own. mode
     "online" reports each line's template as of that line.
     """
-    parsed = parsed_lines(lines, books)
-    rest = parsed.filter("fields IS NULL").select("source_path", "source_name", "line_number", "raw")
-    if mode == "online":
-        hits = templates.mine_online(rest)
-    else:
-        hits = templates.match(rest, mined if mined is not None else templates.train(rest), codebook)
-    return structured_events(parsed, now).unionByName(template_events(hits, now))
+    parsed, rest = parts(lines, books)
+    hits = templates.mine_online(rest) if mode == "online" else templates.match(rest, mined if mined is not None else templates.train(rest), codebook)
+    return assembled(parsed, hits, now)

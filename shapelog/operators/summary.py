@@ -10,6 +10,7 @@ from shapelog.functions.scalars import confidence_bucket
 TOP_SHARES = 6
 TOP_BARS = 8
 SAMPLE_ROWS = 25
+BUCKETS = ["high", "medium", "low"]
 
 
 def or_unknown(column: str) -> Column:
@@ -29,16 +30,24 @@ def top(events: DataFrame, column: str, n: int = TOP_BARS) -> DataFrame:
 
 def shares(events: DataFrame, column: str, n: int = TOP_SHARES) -> DataFrame:
     """The n most frequent values with their share of those n, and of all events."""
-    total = events.count()
-    first = top(events.withColumn(column, or_unknown(column)), column, n)
+    counted = events.groupBy(or_unknown(column).alias(column)).agg(F.count("*").alias("events"), F.min(F.struct("lineage.source_path", "lineage.line_number")).alias("first"))
+    total = counted.agg(F.sum("events")).scalar()
     shown = F.sum("events").over(Window.partitionBy())  # over n rows
-    return first.select(column, "events", (100 * F.col("events") / shown).alias("pct_of_shown"), (100 * F.col("events") / F.lit(max(total, 1))).alias("pct_of_all"))
+    return counted.orderBy(F.desc("events"), "first").limit(n).select(column, "events", (100 * F.col("events") / shown).alias("pct_of_shown"), (100 * F.col("events") / total).alias("pct_of_all"))
 
 
 def confidence_histogram(events: DataFrame) -> DataFrame:
     return events.groupBy(confidence_bucket(F.coalesce("confidence", F.lit(0.0))).alias("bucket")).agg(F.count("*").alias("events"))
 
 
+def bucket_shares(events: DataFrame) -> DataFrame:
+    """Events and percentage of each confidence bucket, none left out: three rows."""
+    bucket = confidence_bucket(F.coalesce("confidence", F.lit(0.0)))
+    every = events.agg(F.count("*").alias("all"), *(F.count_if(bucket == b).alias(b) for b in BUCKETS))
+    rows = every.select("all", F.inline(F.array(*(F.struct(F.lit(b).alias("bucket"), F.col(b).alias("events")) for b in BUCKETS))))
+    return rows.select("bucket", "events", F.round(100 * F.col("events") / F.greatest(F.col("all"), F.lit(1)), 1).alias("pct"))
+
+
 def by_year(events: DataFrame) -> DataFrame:
     year = F.substring("timestamp", 1, 4)
     return events.filter(year.rlike(r"^\d{4}$")).groupBy(year.alias("year")).agg(F.count("*").alias("events")).orderBy("year")

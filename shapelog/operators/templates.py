@@ -24,6 +24,8 @@ SIMILARITY = 0.4
 #: Lines that a template must have had to be promoted.
 MIN_OCCURRENCES = 20
 SAMPLE_CHARS = 200
+#: Lines of one leaf that one task trains on, at most: a larger leaf is trained in parts.
+LEAF_LINES = 1_000_000
 
 TEMPLATES = "source_name string, template string, tokens array<string>, size bigint, example string, example_path string, example_line bigint"
 ENTRIES = "signature string, template string, tokens array<string>, sample_count bigint, sample_line string, learned_from_source string, roles array<string>"
@@ -66,11 +68,21 @@ def with_leaf(lines: DataFrame, wordless: bool = False) -> DataFrame:
     return (rows if wordless else rows.filter("size(words) > 0")).withColumn("leaf", leaf)
 
 
-def train(lines: DataFrame, similarity: float = SIMILARITY, salts: int = 1) -> DataFrame:
+def known_rows(templates: DataFrame) -> DataFrame:
+    """Templates as rows of their leaf, to go on from or to merge."""
+    first = F.try_element_at("tokens", F.lit(1))
+    leaf = F.concat_ws(" ", F.size("tokens"), F.when(F.size("tokens") > 1, F.when(first.rlike(r"\d") | (first == ANY), ANY).otherwise(first)))
+    named = templates.withColumn("leaf", leaf).withColumnsRenamed({"tokens": "words", "size": "weight", "example": "raw", "example_path": "source_path", "example_line": "line_number"})
+    return named.select("source_name", "leaf", "words", "weight", "raw", "source_path", "line_number")
+
+
+def train(lines: DataFrame, similarity: float = SIMILARITY, salts: int | None = None, known: DataFrame | None = None, leaf_lines: int = LEAF_LINES) -> DataFrame:
     """One row per template: source, text, tokens, size, first line.
 
-    With salts > 1 each leaf is first trained in so many parts and their templates then merged, for
-    leaves too large for one task; templates may then differ from those of one pass in order.
+    known: templates of earlier lines of the sources, which the new lines go on from; all are in the
+    result, so it is the state that the next run goes on from. A leaf too large for one task is first
+    trained in parts, as many as its measured lines need (or as `salts` says), and their templates are
+    then merged; those may differ from what one pass in order would give.
     """
     keys = ["source_name", "leaf", "salt"]
 
@@ -82,33 +94,47 @@ def train(lines: DataFrame, similarity: float = SIMILARITY, salts: int = 1) -> D
             return pd.DataFrame(rows, columns=[x.split()[0] for x in TEMPLATES.split(", ")])
 
         for batch in batches:
-            for source, place, salt, words, weight, raw, path, number in batch[[*keys, "words", "weight", "raw", "source_path", "line_number"]].itertuples(index=False, name=None):
+            for source, place, salt, words, weight, raw, path, number, given in batch[[*keys, "words", "weight", "raw", "source_path", "line_number", "given"]].itertuples(index=False, name=None):
                 if (source, place, salt) != key:
                     if key is not None:
                         yield done()
                     key, leaf = (source, place, salt), Leaf(similarity)
-                leaf.add(list(words), int(weight), (raw, path, number))
+                if given:
+                    leaf.clusters.append({"tokens": list(words), "size": int(weight), "example": (raw, path, number)})
+                else:
+                    leaf.add(list(words), int(weight), (raw, path, number))
         if key is not None:
             yield done()
 
-    def pass_over(rows: DataFrame) -> DataFrame:
-        dealt = rows.repartition(*keys).sortWithinPartitions(*keys, "source_path", "line_number")
+    def pass_over(rows: DataFrame, start: DataFrame | None) -> DataFrame:
+        every = rows.withColumn("given", F.lit(False))
+        if start is not None:
+            every = every.unionByName(known_rows(start).withColumn("salt", F.lit(0)).withColumn("given", F.lit(True)))
+        dealt = every.repartition(*keys).sortWithinPartitions(*keys, F.desc("given"), "source_path", "line_number")
         return dealt.mapInPandas(mine, TEMPLATES)
 
-    rows = with_leaf(lines).withColumn("weight", F.lit(1).cast("bigint")).withColumn("salt", F.pmod(F.xxhash64("source_path", "line_number"), F.lit(salts)).cast("int"))
-    found = pass_over(rows)
-    if salts > 1:
-        again = found.withColumnsRenamed({"tokens": "words", "size": "weight", "example": "raw", "example_path": "source_path", "example_line": "line_number"})
-        first = F.try_element_at("words", F.lit(1))
-        again = again.withColumn("leaf", F.concat_ws(" ", F.size("words"), F.when(F.size("words") > 1, F.when(first.rlike(r"\d") | (first == ANY), ANY).otherwise(first)))).withColumn("salt", F.lit(0))
-        found = pass_over(again)
-    return found
+    columns = ["source_name", "leaf", "salt", "words", "weight", "raw", "source_path", "line_number"]
+    rows = with_leaf(lines).withColumn("weight", F.lit(1).cast("bigint"))
+    if salts is None:
+        # At most one leaf in leaf_lines lines is that large.
+        large = rows.groupBy("source_name", "leaf").agg(F.count("*").alias("n")).filter(F.col("n") > leaf_lines).select("source_name", "leaf", F.ceil(F.col("n") / leaf_lines).cast("int").alias("salts")).persist()
+        parted = not large.isEmpty()
+        rows = rows.join(F.broadcast(large), ["source_name", "leaf"], "left") if parted else rows.withColumn("salts", F.lit(1))
+    else:
+        parted, rows = salts > 1, rows.withColumn("salts", F.lit(salts))
+    salt = F.pmod(F.xxhash64("source_path", "line_number"), F.coalesce("salts", F.lit(1))).cast("int")
+    rows = rows.withColumn("salt", salt).select(*columns)
+    if parted:
+        rows = known_rows(pass_over(rows, None)).withColumn("salt", F.lit(0)).select(*columns)
+    return pass_over(rows, known)
 
 
 def mine_online(lines: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Each line with the template as it stood right after the line, as a one-pass miner reports it.
 
-    A line without words is its own template, the empty text of size 1, as `match` has it.
+    A line without words is its own template, the empty text of size 1, as `match` has it. What a line
+    shows depends on all lines before it, so a leaf is one task's, whatever its size: for sources of
+    bounded size; `train` and `match` have no such bound.
     """
     out = "source_path string, source_name string, line_number bigint, raw string, template string, tokens array<string>, cluster_size bigint"
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +17,7 @@ from shapelog.operators.formats import file_formats
 from shapelog.plans.render import COLUMNS, EXPECTED, LINES, SQL_BASE, base, event_columns, expected, lines, mixed_lines
 from shapelog.sources import sinks
 from shapelog.sources.lines import read_lines
+from shapelog.sources.shared import shared_folder
 from shapelog.streaming.events import stream_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,12 +38,6 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder that driver and executors share; of this machine only where the session names none."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"file://{tempfile.gettempdir()}/shapelog-checkpoints"
-    return f"{root.rstrip('/')}/shapelog-{uuid.uuid4().hex}"
-
-
 # --- one parser and normalizer each -------------------------------------------------------------
 
 for _shape in LINES:

@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shapelog.operators.events import events
+from shapelog.operators.events import assembled, parts
+from shapelog.operators.templates import match, train
 from shapelog.sources.lines import numbered, split_lines
+from shapelog.sources.shared import keep, latest
 from shapelog.sources.sinks import flatten
 
 
@@ -21,11 +23,18 @@ def stream_events(spark: SparkSession, folder: str, out: str, checkpoint: str, n
     """Start a query that turns each new file's lines into events, written under `out` by batch.
 
     A batch writes a folder of its own, and writing it again after a failure replaces it, so every
-    event is there once. `each` gets a batch's events for further sinks.
+    event is there once. Without `mined`, templates are kept beside the checkpoint after each batch and
+    the next one goes on from them; a batch that is run again goes on from the one before it. `each`
+    gets a batch's events for further sinks.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        found = events(numbered(batch), now, mined, codebook)
+        parsed, rest = parts(numbered(batch))
+        known = mined
+        if known is None:
+            state = f"{checkpoint}-templates"
+            known = keep(train(rest, known=latest(batch.sparkSession, state, batch_id)), state, batch_id)
+        found = assembled(parsed, match(rest, known, codebook), now)
         path = f"{out}/batch={batch_id}"
         flatten(found).write.mode("overwrite").parquet(path)
         if each is not None:
