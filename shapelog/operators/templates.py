@@ -232,6 +232,12 @@ def template_pattern(template: str) -> str:
     return "^" + "(.+?)".join(rf"\Q{part}\E" if part else "" for part in template.split(ANY)) + "$"
 
 
+def pattern_of(template: Column) -> Column:
+    """`template_pattern` of a column."""
+    parts = F.transform(F.split(template, r"<\*>", -1), lambda x: F.when(x != "", F.concat(F.lit("\\Q"), x, F.lit("\\E"))).otherwise(""))
+    return F.concat(F.lit("^"), F.array_join(parts, "(.+?)"), F.lit("$"))
+
+
 def save_codebook(codebook: DataFrame, path: str) -> int:
     """Write the entries as one JSON file on the driver; a codebook holds a few thousand at most."""
     now = datetime.now(UTC).isoformat()

@@ -225,17 +225,10 @@ def severity_scan(spark, sf_dir):
     return base(spark, sf_dir).select("event_id", profile.extract_severity(F.expr(text)).alias("severity"))
 
 
-@query("document_severity", r"""WITH l AS (SELECT doc_id, lower(regexp_extract(text, '(?i)\b(TRACE|DEBUG|INFO|NOTICE|WARN(?:ING)?|ERR(?:OR)?|CRIT(?:ICAL)?|ALERT|EMERG(?:ENCY)?|FATAL)\b', 1)) AS w FROM documents WHERE regexp_full_match(text, '[\x00-\x7F]*'))
-SELECT doc_id, CASE WHEN w IN ('trace', 'debug') THEN 'debug' WHEN w IN ('info', 'notice') THEN 'info' WHEN w IN ('warn', 'warning') THEN 'warning' WHEN w IN ('err', 'error') THEN 'error' WHEN w <> '' THEN 'critical' END AS severity FROM l""")
-def document_severity(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("octet_length(text) = length(text)")
-    return docs.select("doc_id", profile.extract_severity(F.col("text")).alias("severity"))
-
-
-@query("document_severity_all", r"""WITH l AS (SELECT doc_id, lower(coalesce(nullif(regexp_extract(text, '(?:^|[^\p{L}\p{N}_])[0-9]+[\t-\r ]+[0-9]+[\t-\r ]+([VDIWEF])[\t-\r ]+[0-9A-Za-z_.$]+:', 1), ''),
+@query("document_severity", r"""WITH l AS (SELECT doc_id, lower(coalesce(nullif(regexp_extract(text, '(?:^|[^\p{L}\p{N}_])[0-9]+[\t-\r ]+[0-9]+[\t-\r ]+([VDIWEF])[\t-\r ]+[0-9A-Za-z_.$]+:', 1), ''),
   regexp_extract(text, '(?i)(?:^|[^\p{L}\p{N}_])(TRACE|DEBUG|INFO|NOTICE|WARN(?:ING)?|ERR(?:OR)?|CRIT(?:ICAL)?|ALERT|EMERG(?:ENCY)?|FATAL)(?:$|[^\p{L}\p{N}_])', 1))) AS w FROM documents)
 SELECT doc_id, CASE WHEN w IN ('trace', 'debug', 'd', 'v') THEN 'debug' WHEN w IN ('info', 'notice', 'i') THEN 'info' WHEN w IN ('warn', 'warning', 'w') THEN 'warning' WHEN w IN ('err', 'error', 'e') THEN 'error' WHEN w <> '' THEN 'critical' END AS severity FROM l""")
-def document_severity_all(spark, sf_dir):
+def document_severity(spark, sf_dir):
     """Of every document, whatever its characters; a null text has no severity."""
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", profile.extract_severity(F.col("text")).alias("severity"))
 
@@ -386,9 +379,15 @@ def template_match(spark, sf_dir):
     return found.selectExpr("line_number", "template", "array_join(transform(variables, v -> v.value), ' ') AS variables", "array_join(transform(variables, v -> v.guessed_type), ' ') AS types")
 
 
-@query("template_online", f"SELECT event_id + 1 AS line_number, row_number() OVER (PARTITION BY event_id % 6 ORDER BY event_id) AS cluster_size FROM events")
+def _so_far(value: str) -> str:
+    """A word as it is while it was always the same, then a variable."""
+    return f"CASE WHEN min({value}) OVER w = max({value}) OVER w THEN {value} ELSE '<*>' END"
+
+
+@query("template_online", f"""{SQL_BASE} SELECT event_id + 1 AS line_number, row_number() OVER w AS cluster_size, CASE event_id % 3 WHEN 0 THEN 'session opened for user ' || {_so_far("'u' || user_id")} || ' by root from ' || {_so_far("src_ip")}
+  WHEN 1 THEN 'interface ' || {_so_far("'eth' || (event_id % 4)")} || ' dropped ' || {_so_far("'' || packets")} || ' packets today at gate' ELSE 'cache flush finished took ' || {_so_far("'' || event_id")} || ' ms' END AS template FROM e WINDOW w AS (PARTITION BY event_id % 6 ORDER BY event_id)""")
 def template_online(spark, sf_dir):
-    return templates.mine_online(free_lines(spark, sf_dir)).select("line_number", "cluster_size")
+    return templates.mine_online(free_lines(spark, sf_dir)).select("line_number", "cluster_size", "template")
 
 
 @query("template_promote", f"SELECT sha1(template)[1:16] AS signature, template, count(*) AS sample_count FROM (SELECT {_TEMPLATE} AS template FROM events WHERE event_id % 2 = CASE event_id % 3 WHEN 0 THEN 0 WHEN 1 THEN 0 ELSE 0 END) GROUP BY template HAVING count(*) >= 20")
@@ -497,4 +496,6 @@ def streamed(spark, sf_dir):
     return spark.read.parquet(f"{folder}/out").groupBy("action").agg(F.count("*").alias("events"), F.sum("lineage_line_number").alias("numbers"))
 
 
-__all__ = ["COLUMNS", "EXPECTED", "ORACLE_SQL", "QUERIES"]
+from shapelog.plans import field_queries  # noqa: E402  registers its queries here
+
+__all__ = ["field_queries", "COLUMNS", "EXPECTED", "ORACLE_SQL", "QUERIES"]

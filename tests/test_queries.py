@@ -7,7 +7,7 @@ from shapelog.plans.queries import ORACLE_SQL, QUERIES
 
 DATA = "/root/testdata/sf0.001"
 #: One of each kind; the driver compares all of them.
-CHOSEN = ["cef_events", "leef_events", "coded_asa", "sniff_lines", "sniff_files", "event_id", "ts_iso", "ts_bsd_noyear", "ts_invalid", "token_tags", "counters", "template_match", "unknown_events", "read_lines", "stream_events", "registry"]
+CHOSEN = ["cef_events", "leef_events", "coded_asa", "sniff_lines", "sniff_files", "event_id", "ts_iso", "ts_bsd_noyear", "ts_invalid", "token_tags", "counters", "template_match", "unknown_events", "read_lines", "stream_events", "registry", "unknown_fields", "console_report", "blank_lines", "sql_parsers", "template_online", "codebook_saved", "read_misnamed_gzip", "read_folder", "flatten_all", "jsonl_events", "dashboard_numbers", "stream_windows"]
 
 
 @pytest.fixture(scope="module")
