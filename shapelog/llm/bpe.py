@@ -18,6 +18,7 @@ import json
 import os
 import re
 import unicodedata
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,8 +48,8 @@ def lowered(text: str) -> str:
     return unicodedata.normalize("NFC", text).replace("\u03a3", "\u03c3").lower()
 
 
-def unsettled(content: str) -> str:
-    """A pattern class of the characters that Python's tables don't know, or lower or split otherwise than the library."""
+def unsettled(content: str) -> list[tuple[int, int]]:
+    """Ranges of the characters that Python's tables don't know, or lower or split otherwise than the library."""
     from tokenizers import Tokenizer
 
     library = Tokenizer.from_str(content)
@@ -64,7 +65,7 @@ def unsettled(content: str) -> str:
         odd += np.asarray(every[i : i + (1 << 14)])[(theirs != ours) | np.array(new)].tolist()
     odd = np.sort(odd)
     cuts = np.flatnonzero(np.diff(odd) != 1) + 1
-    return "[" + "".join(rf"\U{run[0]:08x}-\U{run[-1]:08x}" for run in np.split(odd, cuts)) + "]" if len(odd) else r"(?!)"
+    return [(int(run[0]), int(run[-1])) for run in np.split(odd, cuts) if len(run)]
 
 
 #: A leaf of the tree: rank, position and the merged symbol's id, in so many bits of one integer, so
@@ -90,9 +91,11 @@ def raise_minimum(nodes: list[int], i: int, key: int) -> None:
 class Bpe:
     """Encoder and decoder of one vocabulary file's content."""
 
-    def __init__(self, content: str, odd: str):
+    def __init__(self, content: str, odd: list[tuple[int, int]]):
         """odd: what `unsettled` gives for the content."""
-        self.content, self.library, self.odd = content, None, re.compile(odd)
+        self.content, self.library, self.odd = content, None, odd
+        #: Characters seen that both treat alike.
+        self.settled: set[str] = set()
         spec = json.loads(content)
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]
@@ -165,10 +168,16 @@ class Bpe:
     def split(self, text: str) -> list[str]:
         if text.isascii():
             return self.ascii_pattern.findall(text.lower())
-        if self.odd.search(text):
+        fresh = set(text) - self.settled
+        if fresh and any(map(self.is_odd, fresh)):
             return self.split_by_library(text)
+        self.settled |= fresh
         return self.pattern.findall(lowered(text))
 
+    def is_odd(self, char: str) -> bool:
+        at = bisect_right(self.odd, (ord(char), 0x110000)) - 1
+        return at >= 0 and ord(char) <= self.odd[at][1]
+
     def split_by_library(self, text: str) -> list[str]:
         if self.library is None:
             from tokenizers import Tokenizer
