@@ -40,7 +40,7 @@ BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV"
 
 CRLF = "\r\n"
-RECORD = "page_id {id}, url string, captured string, record_type string, refers_to {id}, payload_digest string, payload_bytes long, payload string, archive string, offset long, length long"
+RECORD = "page_id {id}, url string, captured string, record_type string, refers_to {id}, payload_digest string, payload_bytes long, payload string, archive string, offset long, length long, url_key string"
 
 
 def base32_sha1(payload: Column) -> Column:
@@ -164,7 +164,7 @@ def read_archives(spark: SparkSession, path: str | list[str], id_type: str = "bi
         size = int(next(x.split(b":")[1] for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:")))
         if not revisit and (size != len(payload) or base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest):
             raise ValueError(f"the payload of page {headers.get('x-page-id')} isn't what its header says")
-        return headers.get("x-page-id"), headers["warc-target-uri"], headers["warc-date"], headers["warc-type"], headers.get("x-refers-to-page-id"), digest, size, None if revisit else payload.decode(), archive, offset, length
+        return headers.get("x-page-id"), headers["warc-target-uri"], headers["warc-date"], headers["warc-type"], headers.get("x-refers-to-page-id"), digest, size, None if revisit else payload.decode(), archive, offset, length, url_key(headers["warc-target-uri"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         every = ((path, line) for batch in batches for path, line in zip(batch["archive"].to_pylist(), batch["line"].to_pylist(), strict=True))
@@ -214,17 +214,8 @@ def index_runs(records: DataFrame) -> DataFrame:
     `run` names the run and `place` the position in it. A null url counts as an empty one, equal captures
     stay as they are, and no records give no runs.
     """
-    kept = records.select("page_id", "url", "captured", "record_type", "refers_to", "payload_digest", "payload_bytes", "archive", "offset", "length", F.spark_partition_id().alias("run"))
-    names = [*kept.columns, "url_key"]
-
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keys = pa.array([url_key(x or "") for x in batch["url"].to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([*batch.columns, keys], names=names)
-
-    schema = ", ".join(f"{x} {kind}" for x, kind in kept.dtypes) + ", url_key string"
-    ordered = kept.mapInArrow(keyed, schema).sortWithinPartitions("url_key", "captured", "page_id")
-    return ordered.withColumn("place", F.monotonically_increasing_id())
+    kept = records.select("page_id", "url", "captured", "record_type", "refers_to", "payload_digest", "payload_bytes", "archive", "offset", "length", "url_key", F.spark_partition_id().alias("run"))
+    return kept.sortWithinPartitions("url_key", "captured", "page_id").withColumn("place", F.monotonically_increasing_id())
 
 
 class LoserTree:
