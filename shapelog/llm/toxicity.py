@@ -204,7 +204,11 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
     Whole texts of any length are read; null and empty texts have no terms and score what the base
     rate gives. All columns stay; one named `score` is replaced.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(machine)
+    # Few terms have weights: only those travel and are looked up.
+    active = np.flatnonzero((machine.w != 0) | machine.v.any(axis=1))
+    place = np.full(1 << BITS, -1, np.int32)
+    place[active] = np.arange(len(active))
+    shared = docs.sparkSession.sparkContext.broadcast((place, Machine(machine.w0, machine.w[active], machine.v[active])))
     kept = docs.drop("score")
     names = [*kept.columns, "score"]
 
@@ -212,8 +216,10 @@ def score(docs: DataFrame, machine: Machine) -> DataFrame:
         for whole in batches:
             for batch in spans.slices(whole, "text"):
                 buckets, text = terms(*kernels.text_bytes(batch["text"]))
-                pairs = np.unique(text << BITS | buckets)  # presence, not counts
-                p = sigmoid(shared.value.logits(pairs & ((1 << BITS) - 1), pairs >> BITS, batch.num_rows))
+                place, own = shared.value
+                at = place[buckets].astype(np.int64)
+                pairs = np.unique((text << BITS | at)[at >= 0])  # presence, not counts
+                p = sigmoid(own.logits(pairs & ((1 << BITS) - 1), pairs >> BITS, batch.num_rows))
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], names=names)
 
     return kept.mapInArrow(run, ", ".join(f"`{x}` {kind}" for x, kind in kept.dtypes) + ", score double")
