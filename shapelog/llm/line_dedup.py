@@ -28,7 +28,7 @@ def line_dedup(docs: DataFrame, folder: str, lines: int = LINES) -> DataFrame:
     text of fewer than `lines` lines loses none. A row that is repeated as a whole is the same
     occurrence. Columns other than doc_id and text are ignored.
     """
-    own = spans.keyed(docs)
+    own, _ = spans.keyed(docs, folder)
     split = own.select("doc", "rid", F.expr("split(text, '\\n', -1)").alias("l")).filter(f"size(l) >= {lines}")
     window = F.expr(f"transform(sequence(0, size(l) - {lines}), i -> unhex(md5(array_join(slice(l, i + 1, {lines}), '\\n'))))")
     # 128 bits of digest: windows are compared by value, whatever their number.

@@ -309,9 +309,9 @@ def ngram_join(docs: DataFrame, folder: str, size: int = SHINGLE, percent: int =
     percent * union of their sets of `size`-word shingles; component_id is the smallest doc_id
     reachable by links. A text with fewer words is one shingle; null, empty and blank texts have
     none and link with nothing. Rows that repeat a doc_id link like any others; a null doc_id ranks
-    after all numbers. Columns other than doc_id and text are ignored.
+    after all others, and ids may be of any type that has an order. Columns other than doc_id and text are ignored.
     """
-    own = spans.keyed(docs)
+    own, ids = spans.keyed(docs, folder)
     keys, counts = survey(own, size, folder)
     classes = materialize(keys.filter("n > 0").groupBy("c", "n").agg(F.min(F.struct("doc", "rid")).alias("first"), F.count("*").alias("copies")), f"{folder}/classes")
     members = blocks(own, counts, size, percent, folder).join(classes.select("c", "n", "first.*").hint("merge"), ["c", "n"])
@@ -326,14 +326,13 @@ def ngram_join(docs: DataFrame, folder: str, size: int = SHINGLE, percent: int =
     named = materialize(named.select("c", "n", "copies", "component", "first_rid"), f"{folder}/components")
     joined = join_keyed(keys.filter("n > 0"), named, ["c", "n"], "copies")
     result = joined.unionByName(keys.filter("n = 0").withColumns({"component": F.col("doc"), "first_rid": F.col("rid")}))
-    kind = dict(docs.dtypes)["doc_id"]
-    return result.select(
-        F.when(F.col("doc") < spans.LAST_ID, F.col("doc")).cast(kind).alias("doc_id"),
-        F.col("n").cast("long").alias("n_shingles"),
-        F.when(F.col("component") < spans.LAST_ID, F.col("component")).cast(kind).alias("component_id"),
-        "rid",
-        "first_rid",
-    )
+    n = F.col("n").cast("long").alias("n_shingles")
+    if ids is None:
+        kind = dict(docs.dtypes)["doc_id"]
+        id_of = lambda x: F.when(F.col(x) < spans.LAST_ID, F.col(x)).cast(kind)
+        return result.select(id_of("doc").alias("doc_id"), n, id_of("component").alias("component_id"), "rid", "first_rid")
+    named = result.join(ids.hint("merge"), "doc", "left").join(ids.selectExpr("doc_id AS component_id", "doc AS component").hint("merge"), "component", "left")
+    return named.select("doc_id", n, "component_id", "rid", "first_rid")
 
 
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shapelog.llm import kernels
+from shapelog.llm.common import materialize
 
 #: Bytes of text handled at once (a longer text goes alone).
 BATCH_BYTES = 4 << 20
@@ -108,17 +109,19 @@ def runs(docs: DataFrame, tokenize: Callable, k: int, window: int) -> DataFrame:
     return docs.select("doc", "rid", "text").mapInArrow(emit, RUNS)
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, text, doc (doc_id, null as the last) and rid, by which texts that share a doc_id differ.
+def keyed(docs: DataFrame, folder: str) -> tuple[DataFrame, DataFrame | None]:
+    """doc_id, text, doc and rid of each row, and which doc_id a doc stands for, where it isn't that number itself.
 
-    doc_id must be a whole number; 2**63 - 1 is what null counts as.
+    doc is a whole number in the order of doc_id, null as the last; rid tells texts that share a doc_id
+    apart. Ids that are no whole numbers are numbered in their order, by sampled ranges. The number
+    2**63 - 1 is what null counts as.
     """
-    return docs.select(
-        "doc_id",
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc"),
-        F.xxhash64(F.coalesce("text", F.lit(""))).alias("rid"),
-        F.coalesce("text", F.lit("")).alias("text"),
-    )
+    rid, text = F.xxhash64(F.coalesce("text", F.lit(""))).alias("rid"), F.coalesce("text", F.lit("")).alias("text")
+    if dict(docs.dtypes)["doc_id"] in ("tinyint", "smallint", "int", "bigint"):
+        return docs.select("doc_id", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("doc"), rid, text), None
+    ids = docs.select("doc_id").dropna().distinct().repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    ids = materialize(ids.withColumn("doc", F.monotonically_increasing_id()), f"{folder}/ids")
+    return docs.select("doc_id", "text").join(ids, "doc_id", "left").select("doc_id", F.coalesce("doc", F.lit(LAST_ID)).alias("doc"), rid, text), ids
 
 
 def with_text(docs: DataFrame, rows: DataFrame, fields: list[str], how: str = "inner") -> DataFrame:

@@ -134,7 +134,7 @@ def substring_dedup(docs: DataFrame, folder: str, window: int = WINDOW, k: int =
     share a doc_id are one document, none of them smaller than the other; a null doc_id counts as
     the largest. Columns other than doc_id and text are ignored.
     """
-    own = spans.keyed(docs)
+    own, _ = spans.keyed(docs, folder)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

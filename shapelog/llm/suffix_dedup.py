@@ -211,7 +211,7 @@ def suffix_dedup(docs: DataFrame, folder: str, window: int = WINDOW, k: int = K,
     strings at another place, so both lose them. A cut may fall inside a character: `kept` is binary.
     Columns other than doc_id and text are ignored.
     """
-    own = spans.keyed(docs)
+    own, _ = spans.keyed(docs, folder)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

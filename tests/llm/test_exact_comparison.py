@@ -35,13 +35,17 @@ def test_word_hashes_do_not_depend_on_place():
     assert (kernels.word_hashes(content, begin, end) == h).all()
 
 
+def spans_of(docs, folder):
+    return substring_dedup.repeated_spans(spans.keyed(docs, folder)[0], folder)
+
+
 def test_long_spans_and_their_sources(spark):
     """A copied passage of any length is one span with its place in the source; an edit parts it in two."""
     source = text(400, 11).split()
     edited = [*source[50:350]]
     edited[140] = "edited"
     docs = spark.createDataFrame([(0, " ".join(source)), (1, " ".join([*text(20, 12).split(), *source[100:300], *text(20, 13).split()])), (2, " ".join(edited)), (3, text(300, 14))], "doc_id bigint, text string")
-    found = substring_dedup.repeated_spans(spans.keyed(docs), work_dir(spark))
+    found = spans_of(docs, work_dir(spark))
     # Paths that branch are copied piece by piece; all pieces of a document together are its long spans.
     pieces = {}
     for r in found.select("doc", "lo", "len", "source", "source_lo").collect():
@@ -57,7 +61,7 @@ def test_copies_compact_to_one_path(spark):
     """Two equal documents: every node inside is passed once, so all edges are one nonbranching path."""
     same = text(500, 21)
     docs = spark.createDataFrame([(0, same), (1, same), (2, same)], "doc_id bigint, text string")
-    rows = substring_dedup.repeated_spans(spans.keyed(docs), work_dir(spark)).select("doc", "lo", "len", "source", "source_lo").collect()
+    rows = spans_of(docs, work_dir(spark)).select("doc", "lo", "len", "source", "source_lo").collect()
     assert sorted(map(tuple, rows)) == [(1, 0, 500, 0, 0), (2, 0, 500, 0, 0)]
 
 
