@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shapelog.llm import bpe, decontaminate, exact_dedup, ngram_join, spans, toxicity
+from shapelog.llm import bpe, decontaminate, exact_dedup, ngram_join, toxicity
 from shapelog.llm.common import materialize, table, work_dir
 
 
@@ -57,17 +57,17 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the row with the smallest doc_id stays, then the smallest hash of its text.
 
-    A null doc_id ranks after all numbers. Of rows that repeat both doc_id and text one stays, unless
+    A null doc_id ranks after all others. Of rows that repeat both doc_id and text one stays, unless
     the text has no words: such texts are near copies of nothing. An empty table stays empty.
     """
     found = ngram_join.ngram_join(docs, work_dir(spark))
-    last = F.lit(spans.LAST_ID)
     first = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("rid") == F.col("first_rid"))
-    kept = found.filter(first).select(F.coalesce(F.col("doc_id").cast("long"), last).alias("the_id"), F.col("rid").alias("the_rid"), F.col("n_shingles").alias("the_size")).distinct()
-    doc, text, size, place = (fresh(docs, x) for x in ("doc", "rid", "size", "place"))
-    rows = docs.withColumns({doc: F.coalesce(F.col("doc_id").cast("long"), last), text: F.xxhash64(F.coalesce("text", F.lit("")))}).alias("own")
-    joined = rows.join(kept.alias("kept").hint("shuffle_hash"), (F.col(f"own.{doc}") == F.col("kept.the_id")) & (F.col(f"own.{text}") == F.col("kept.the_rid")))
-    return first_rows(joined.select("own.*", F.col("kept.the_size").alias(size)), [doc, text], f"{size} = 0", place).select(*docs.columns)
+    kept = found.filter(first).select(F.col("doc_id").alias("the_id"), F.col("rid").alias("the_rid"), F.col("n_shingles").alias("the_size")).distinct()
+    text, size, place = (fresh(docs, x) for x in ("rid", "size", "place"))
+    rows = docs.withColumn(text, F.xxhash64(F.coalesce("text", F.lit("")))).alias("own")
+    same = F.col("own.doc_id").eqNullSafe(F.col("kept.the_id")) & (F.col(f"own.{text}") == F.col("kept.the_rid"))
+    joined = rows.join(kept.alias("kept").hint("shuffle_hash"), same)
+    return first_rows(joined.select("own.*", F.col("kept.the_size").alias(size)), ["doc_id", text], f"{size} = 0", place).select(*docs.columns)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
