@@ -25,6 +25,7 @@ def parse_json(line: Column) -> Column:
 
 def parse_kv(line: Column) -> Column:
     """key=value and key="value" pairs."""
+    # A pair, its value bare or in quotes.
     pattern = r'(?U)(\w++)=("[^"]*"|\S+)'
 
     def read(x: dict[str, Column]) -> Column:
@@ -55,6 +56,7 @@ def _with_header(names: list[str], own: Column, before: Column, keys: Column, va
 
 def parse_cef(line: Column) -> Column:
     """The seven header fields, the extension's pairs, and the text before as syslog_prefix; later ones win."""
+    # The header's fields and its grammar.
     names = ["cef_version", "vendor", "product", "product_version", "signature_id", "name", "severity"]
 
     def rest(own: Column, before: Column) -> Column:
@@ -70,6 +72,7 @@ def parse_cef(line: Column) -> Column:
 
 def parse_leef(line: Column) -> Column:
     """Like CEF; version 2 names the delimiter (a literal of up to four characters, or x and two hex digits)."""
+    # The header's fields and its grammar, and how a delimiter is named.
     names = ["leef_version", "vendor", "product", "product_version", "event_id"]
     spec = r"(?s)^([^|]{0,4})\|(.*)$"
 
@@ -101,6 +104,7 @@ def parse_leef(line: Column) -> Column:
 
 def parse_rfc5424(line: Column) -> Column:
     """Header, parameters of all structured elements, and the free text as message."""
+    # The header's fields.
     names = ["pri", "version", "timestamp", "hostname", "appname", "procid", "msgid"]
     # Elements follow each other after one space; one bracket may stand within an element.
     elements = r"^(\[(?:[^\[\]]|\[[^\[\]]*\])*\](?: \[(?:[^\[\]]|\[[^\[\]]*\])*\])*)"
@@ -136,6 +140,7 @@ def parse_coded(line: Column, books: list[dict] | None = None) -> Column:
     goes through a join. `operators.coded.join_codebook` is the same by a join, for codebooks too
     large for an expression.
     """
+    # The header's grammar and fields.
     header = r"(?Us)^<(\d+)>(\w+\s+\d+\s+\d+\s+\d+:\d+:\d+)\s+(\S+)\s*:?\s*%([A-Za-z0-9_]+)-(\d)-(\d+):\s*(.*)$"
     names = ["pri", "timestamp", "hostname", "severity", "code", "message"]
     books = books or load_codebooks()

@@ -21,9 +21,10 @@ STAMPS = [
     r"[A-Z][a-z]{2}\s+\d{1,2} \d{2}:\d{2}:\d{2}",
 ]
 STAMP = "|".join(STAMPS)
-EPOCH = r"(?<!\d)(10\d{8}|1[1-9]\d{8}|20\d{8})(?!\d)"
-# A word's edges, told by Unicode as in the reference; \b is ASCII in some JDKs and RE2, not in others.
+# A word's edges, told by Unicode; \b is ASCII in some JDKs and RE2, not in others.
 NO_WORD_BEFORE, NO_WORD_AFTER = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
+# What a bare epoch, a level word, a level letter and a process tag look like.
+EPOCH = r"(?<!\d)(10\d{8}|1[1-9]\d{8}|20\d{8})(?!\d)"
 LEVEL = rf"(?i){NO_WORD_BEFORE}(TRACE|DEBUG|INFO|NOTICE|WARN(?:ING)?|ERR(?:OR)?|CRIT(?:ICAL)?|ALERT|EMERG(?:ENCY)?|FATAL){NO_WORD_AFTER}"
 LETTER_LEVEL = NO_WORD_BEFORE + r"\d+\s+\d+\s+([VDIWEF])\s+[\w.$]+:"
 TAG = r"(?U)\b([\w.\-]+)(?:\([\w.\-]+\))?\[(\d+)\]:"

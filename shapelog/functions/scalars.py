@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shapelog.functions.text import extract_all, let, strip
 from shapelog.schema import ACTIONS, PROTOCOLS
 
+# A valid IPv4 address.
 IPV4 = r"\b(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\b"
 
 

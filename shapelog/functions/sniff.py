@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from shapelog.functions.text import extract_all, let, strip, tokens
 
+# What tells each shape.
 CODED = r"%[A-Za-z0-9_]+-\d-\d+:"
 LEEF = r"LEEF:[\d.]+\|"
 RFC5424 = r"(?U)^<\d+>1\s+\S+\s+\S+\s+\S+\s+\S+\s+\S+\s+(\[|-)"

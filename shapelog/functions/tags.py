@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from shapelog.functions.text import let
 
+# An address, one with a port, and a flow between two.
 IP = r"\d{1,3}(?:\.\d{1,3}){3}"
 IP_PORT = rf"^({IP}):(\d{{1,5}})$"
 FLOW = rf"^({IP}):(\d{{1,5}})(?:->|>| to )({IP}):(\d{{1,5}})$"

@@ -105,6 +105,7 @@ def template_event(template: Column, variables: Column, raw: Column) -> Column:
 
     Confidence is counted in hundredths: 30, and more for each thing found, up to 75.
     """
+    # A word, a colon and its value.
     colon = r"(?U)\b([A-Za-z_]\w*):\s+(\S+)"
     pairs = last_wins(F.transform(extract_all(raw, colon, 1), F.lower), extract_all(raw, colon, 2))
     kinds = ["date", "time", "ip_port_flow", "ip_port", "ip", "port_or_number"]
