@@ -17,12 +17,14 @@ from pyspark.sql import functions as F
 
 from shapelog.llm import kernels, spans
 from shapelog.llm.common import table
-from shapelog.llm.toxicity import held_out, sigmoid, training_rows
+from shapelog.llm.toxicity import held_out, sigmoid, training_rows, within
 
 TAPS, FILTERS, HIDDEN = 5, 8, 12
 BLOCK, CHUNK_BLOCKS = 64, 8
 #: At most so many labelled rows train the network: those with the smallest hash of their doc_id.
 TRAIN_ROWS = 3000
+#: And at most so many bytes of their texts.
+TRAIN_BYTES = 128 << 20
 EPOCHS = 8
 #: Bytes convolved at once, and bytes of training texts whose gradients are computed at once (one text at least).
 PIECE = 1 << 17
@@ -177,8 +179,13 @@ def train(texts: list[bytes], labels: np.ndarray, seed: int = 0, epochs: int = E
 
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> Weights:
-    """Learn from the labelled documents; the texts of at most `limit` rows come to the driver."""
-    got = training_rows(docs, labels, "quality", limit).toArrow().sort_by("doc_id")
+    """Learn from the labelled documents; the whole texts of at most `limit` rows and TRAIN_BYTES come to the driver.
+
+    Rows without a label or with a null doc_id don't count; of a doc_id with two labels the larger one
+    does; a text that repeats a doc_id is a row of its own. A null text is an empty one.
+    """
+    sample = training_rows(docs, labels, "quality", limit)
+    got = within(sample, F.coalesce(F.octet_length("text"), F.lit(0)), TRAIN_BYTES).toArrow().sort_by("doc_id")
     texts = [(x or "").encode() for x in got["text"].to_pylist()]
     return train(texts, got["label"].to_numpy().astype(np.float32))
 

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shapelog.llm import kernels, spans
@@ -26,6 +26,8 @@ BITS = 20
 PREFIXES = (4, 5)
 #: At most so many labelled rows train the model: those with the smallest hash of their doc_id.
 TRAIN_ROWS = 12_000
+#: And at most so many distinct terms of them, all in all.
+TRAIN_TERMS = 1 << 25
 #: Documents of the sample that a term must be in.
 LEAST_DOCUMENTS = 3
 #: Standard errors by which the odds of a term must differ from those of all rows to be in the first round.
@@ -167,17 +169,22 @@ def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 0, epochs: tup
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, limit: int) -> DataFrame:
-    """(text, label) of the sample: at most `limit` rows, so their ids may be broadcast."""
+    """(text, label) of the sample: at most `limit` labelled rows, so their ids may be broadcast."""
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).dropna().groupBy("doc_id").agg(F.max("label").alias("label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
 
+def within(sample: DataFrame, size: Column, limit: int) -> DataFrame:
+    """The rows of a sample, in the order it was chosen, up to a total size: what comes to the driver."""
+    before = Window.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(Window.unboundedPreceding, 0)  # of a bounded number of rows
+    return sample.withColumn("total_size", F.sum(size).over(before)).filter(F.col("total_size") <= limit).drop("total_size")
+
+
 def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> Machine:
     """Learn from the labelled documents, of which at most `limit` count.
 
-    Only the distinct hashed terms of the sample come to the driver: at most 2**BITS a row, four bytes
-    each. Rows without a label or with a null doc_id don't count; of a doc_id with two labels the larger
+    Only the distinct hashed terms of the sample come to the driver, TRAIN_TERMS of four bytes at most. Rows without a label or with a null doc_id don't count; of a doc_id with two labels the larger
     one does; a text that repeats a doc_id is a row of its own. Null and empty texts have no terms.
     """
 
@@ -192,7 +199,8 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> Machine:
 
     rows = training_rows(docs, labels, "toxic", limit)
     kind = dict(rows.dtypes)["doc_id"]
-    got = rows.mapInArrow(hashed, f"doc_id {kind}, terms array<int>, label int").toArrow().sort_by("doc_id")
+    sample = rows.mapInArrow(hashed, f"doc_id {kind}, terms array<int>, label int")
+    got = within(sample, F.size("terms"), TRAIN_TERMS).toArrow().sort_by("doc_id")
     lists = got["terms"].combine_chunks()
     ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
     return train([flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)], got["label"].to_numpy())

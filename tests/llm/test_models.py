@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+from pyspark.sql import functions as F
 from test_llm_operators import text
 
 from shapelog.llm import kernels, quality, toxicity
@@ -99,3 +100,20 @@ def test_network_by_plain_python():
         # Bytes that follow the text in a batch are read by no other text's filters but zeros.
         got = quality.probabilities(np.frombuffer(data, np.uint8), np.array([0, n]), w)[0]
         assert abs(got - plain_quality(data, w)) < 1e-4, n
+
+
+def test_samples_are_bounded(spark, monkeypatch):
+    """Rows come up to the bound, in the order of their hashes; nulls, repeated ids and two labels have a defined result."""
+    docs = spark.createDataFrame([(i, "word " * 20 + str(i)) for i in range(50)] + [(3, "another"), (None, "x"), (4, None)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(50)] + [(3, 0, 0), (None, 1, 1), (5, None, None)], "doc_id bigint, quality int, toxic int")
+    rows = toxicity.training_rows(docs, labels, "toxic", 10_000)
+    assert rows.count() == 52 and {r.label for r in rows.filter("doc_id = 3").collect()} == {1}
+    few = toxicity.within(rows, F.octet_length(F.coalesce("text", F.lit(""))), 1000)
+    assert 5 < few.count() < 12
+    monkeypatch.setattr(quality, "TRAIN_BYTES", 1000)
+    monkeypatch.setattr(toxicity, "TRAIN_TERMS", 100)
+    for module in (quality, toxicity):
+        found = module.score(docs, module.fit(docs, labels)).collect()
+        assert len(found) == 53 and all(0 <= r.score <= 1 for r in found)
+    again = toxicity.score(docs, toxicity.fit(docs, labels)).collect()
+    assert sorted((str(r.doc_id), r.text or "", r.score) for r in again) == sorted((str(r.doc_id), r.text or "", r.score) for r in found)
