@@ -44,7 +44,8 @@ class Stages:
     def bind(self, value: Column) -> Column:
         for condition in self.conditions[-1:]:
             value = F.when(condition, value)
-        used = [self.step_of[x] for x in set(re.findall(r"_let_\d+", value._jc.toString())) if x in self.step_of]
+        text = value._jc.toString() if hasattr(value, "_jc") else str(value)
+        used = [self.step_of[x] for x in set(re.findall(r"_let_\d+", text)) if x in self.step_of]
         step, name = max(used, default=-1) + 1, f"_let_{next(_numbers)}"
         self.step_of[name] = step
         self.steps += [{} for _ in range(step + 1 - len(self.steps))]
