@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shapelog.functions.sniff import commas, csv_header, sniff_line
+from shapelog.sources.shared import join_small
 
 #: Lines of a file that are looked at.
 SAMPLE = 6
-#: Formats of files are broadcast up to this many bytes, as measured.
-BROADCAST_BYTES = 64 << 20
 
 
 def file_formats(lines: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -33,13 +32,11 @@ def file_formats(lines: DataFrame, sample: int = SAMPLE) -> DataFrame:
     return joined.select("source_path", "source_name", label.alias("format"), F.when(csv, header).alias("header"))
 
 
-def with_format(lines: DataFrame, formats: DataFrame | None = None, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def with_format(lines: DataFrame, formats: DataFrame | None = None) -> DataFrame:
     """The lines with the format and header of their file.
 
     The files' formats are found first and kept, a row a file. As long as they are few, they are broadcast,
     so that no line is shuffled, whatever file it is of; beyond that both sides are.
     """
     known = (formats if formats is not None else file_formats(lines)).select("source_path", "format", "header").persist()
-    size = F.octet_length("source_path") + F.coalesce(F.octet_length("header"), F.lit(0)) + 64
-    small = (known.agg(F.sum(size)).first()[0] or 0) <= broadcast_bytes
-    return lines.join(F.broadcast(known) if small else known.hint("merge"), "source_path")
+    return join_small(lines, known, ["source_path"])

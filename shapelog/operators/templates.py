@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from shapelog.functions.tags import tag_variable
 from shapelog.functions.text import strip, tokens
+from shapelog.sources.shared import join_small, shared_folder, written
 
 ANY = "<*>"
 #: Share of equal tokens from which a line belongs to a template.
@@ -169,19 +170,21 @@ def match(lines: DataFrame, templates: DataFrame, codebook: DataFrame | None = N
 
     Entries of the learned codebook come first, by sample count; then the source's templates, the
     one with most literal words first. A line that fits none is its own template. Candidates of one
-    length meet the line as one array, so a line stays one row.
+    length meet the line as one array, so a line stays one row; they are written first, and broadcast as
+    long as they are few, so that no line is shuffled.
     """
     rows = lines.withColumn("words", line_tokens(F.col("raw"))).withColumn("n_words", F.size("words"))
     literal = F.size(F.filter("tokens", lambda t: t != ANY))
     own = templates.select("source_name", F.size("tokens").alias("n_words"), F.struct((-literal).alias("o"), (-F.col("size")).alias("p"), "template", "tokens", F.substring(F.sha1("template"), 1, 16).alias("id"), F.col("size").alias("size")).alias("t"))
-    own = own.groupBy("source_name", "n_words").agg(F.sort_array(F.collect_list("t")).alias("own"))
-    rows = rows.join(own, ["source_name", "n_words"], "left")
+    folder = shared_folder(lines.sparkSession)
+    own = written(own.groupBy("source_name", "n_words").agg(F.sort_array(F.collect_list("t")).alias("own")), f"{folder}/own")
+    rows = join_small(rows, own, ["source_name", "n_words"], "left")
     mine = F.try_element_at(F.filter("own", lambda t: _fits(t["tokens"], F.col("words"))), F.lit(1))
     rows = rows.withColumn("mine", mine)
     if codebook is not None:
         known = codebook.select(F.size("tokens").alias("n_words"), F.struct((-F.col("sample_count")).alias("o"), F.col("signature").alias("p"), "template", "tokens", F.concat(F.lit("learned:"), "signature").alias("id"), F.col("sample_count").alias("size")).alias("t"))
-        known = known.groupBy("n_words").agg(F.sort_array(F.collect_list("t")).alias("known"))
-        rows = rows.join(known, "n_words", "left").withColumn("hit", F.try_element_at(F.filter("known", lambda t: _fits(t["tokens"], F.col("words"))), F.lit(1)))
+        known = written(known.groupBy("n_words").agg(F.sort_array(F.collect_list("t")).alias("known")), f"{folder}/known")
+        rows = join_small(rows, known, ["n_words"], "left").withColumn("hit", F.try_element_at(F.filter("known", lambda t: _fits(t["tokens"], F.col("words"))), F.lit(1)))
     else:
         rows = rows.withColumn("hit", F.lit(None).cast("struct<o:bigint,p:string,template:string,tokens:array<string>,id:string,size:bigint>"))
 

@@ -11,8 +11,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Splits are broadcast up to this many bytes, as measured.
-BROADCAST_BYTES = 64 << 20
+from shapelog.sources.shared import join_small
+
 #: Bytes unpacked at once.
 UNPACKED = 4 << 20
 
@@ -39,7 +39,7 @@ def survey(rows: DataFrame) -> DataFrame:
     return found.persist()
 
 
-def numbered(rows: DataFrame, splits: DataFrame | None = None, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def numbered(rows: DataFrame, splits: DataFrame | None = None) -> DataFrame:
     """Exact line numbers of (uri, block, value) rows of files that are read in splits.
 
     Rows of a split come in order, so a line's number is its place after the split's first line, and the
@@ -49,8 +49,7 @@ def numbered(rows: DataFrame, splits: DataFrame | None = None, broadcast_bytes:
     if "at" not in rows.columns:
         rows = rows.withColumn("at", F.monotonically_increasing_id())
     splits = survey(rows) if splits is None else splits
-    small = (splits.agg(F.sum(F.octet_length("uri") + 64)).first()[0] or 0) <= broadcast_bytes
-    joined = rows.join(F.broadcast(splits) if small else splits.hint("merge"), ["uri", "block"], "left").filter("gzip IS NULL OR NOT gzip")
+    joined = join_small(rows, splits, ["uri", "block"], "left").filter("gzip IS NULL OR NOT gzip")
     place = F.col("at") - F.col("start")
     number = F.when(place.between(0, F.col("n") - 1), place + F.col("off") + 1).otherwise(F.raise_error(F.lit("the files are split otherwise than when they were surveyed")).cast("bigint"))
     path = source_path(F.col("uri"))

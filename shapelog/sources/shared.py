@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _made: list[tuple[SparkSession, str]] = []
 
@@ -38,6 +39,20 @@ def _clean() -> None:
             return
 
 
+#: A table is broadcast up to this many bytes, as measured.
+BROADCAST_BYTES = 64 << 20
+
+
+def join_small(rows: DataFrame, known: DataFrame, on: list[str], how: str = "inner", limit: int = BROADCAST_BYTES) -> DataFrame:
+    """rows joined with a table that is mostly small: broadcast if its rows, as JSON, hold at most `limit` bytes, else both are shuffled.
+
+    `known` should be a written or kept table, as it is measured first. A broadcast leaves the rows where
+    they are, whatever key most of them have.
+    """
+    size = known.agg(F.sum(F.octet_length(F.to_json(F.struct(*known.columns))))).first()[0] or 0
+    return rows.join(F.broadcast(known) if size <= limit else known.hint("merge"), on, how)
+
+
 def written(rows: DataFrame, path: str) -> DataFrame:
     """The rows written to a shared folder and read back, so that what reads them twice computes them once."""
     rows.write.mode("overwrite").parquet(path)
