@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shapelog.functions import parse
 from shapelog.functions.scalars import lineage
-from shapelog.functions.text import Stages, let, settled, strip
+from shapelog.functions.text import Stages, settled, strip
 from shapelog.operators import normalize, templates
 from shapelog.operators.formats import with_format
 from shapelog.sources.shared import shared_folder, written

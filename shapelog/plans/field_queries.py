@@ -13,7 +13,7 @@ from shapelog.functions import profile, tags
 from shapelog.functions import sql as sql_functions
 from shapelog.operators import summary, templates
 from shapelog.operators.events import events
-from shapelog.plans.queries import NOW, SENTENCES, _FIRST, _SHAPES, _TEMPLATE, SQL_MIXED, free_lines, mixed_events, query
+from shapelog.plans.queries import NOW, _FIRST, _SHAPES, _TEMPLATE, SQL_MIXED, free_lines, mixed_events, query
 from shapelog.plans.render import CSV_HEADER, LINES, SQL_BASE, base, lines
 from shapelog.sources import sinks
 from shapelog.sources.lines import read_lines
