@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shapelog.llm import spans
-from shapelog.llm.common import table
+from shapelog.llm.common import release_memory, table
 
 #: Words whose encoding is remembered, in each Python worker: up to twice as many.
 CACHED_WORDS = 250_000
@@ -215,6 +215,7 @@ def encode_decode(docs: DataFrame, vocab_path: str) -> DataFrame:
     with open(vocab_path, encoding="utf-8") as f:
         content = f.read()
     shared = docs.sparkSession.sparkContext.broadcast((content, unsettled(content)))
+    release_memory()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = Bpe(*shared.value)

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import gc
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,6 +79,15 @@ def join_keyed(rows: DataFrame, keyed: DataFrame, on: list[str], weight: str, ho
     return rows.join(F.broadcast(heavy), on, how).unionByName(few.join(light.hint("merge"), on, how))
 
 
+def release_memory() -> None:
+    """Give memory that this process doesn't use any more back to the system: allocators keep it else, and a driver goes on for long."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim is not None:
+        trim(0)
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Let go of the shuffle files of tables that are written already.
 

@@ -22,6 +22,8 @@ FOLDED_VALUES = BYTE_VALUES.copy()
 FOLDED_VALUES[65:91] = BYTE_VALUES[97:123]
 #: Odd multipliers of the doubling steps of `grams`.
 STEPS = _rng.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Bytes of words hashed at once: the arrays of eight bytes a byte stay small.
+HASHED = 1 << 18
 #: What a byte's place in its word adds to its value before both are mixed.
 PLACE = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes that words are made of: all but ASCII white space.
@@ -77,8 +79,8 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: n
     """
     out = np.empty(len(starts), np.uint64)
     i = 0
-    while i < len(starts):  # by pieces, so that the arrays of eight bytes a byte stay small
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + SEGMENT, "right")))
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(ends, starts[i] + HASHED, "right")))
         lo, hi = starts[i], ends[j - 1]
         s, e = starts[i:j] - lo, ends[i:j] - lo
         size = np.diff(s, append=hi - lo)

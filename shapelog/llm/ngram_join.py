@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shapelog.llm import kernels, spans
-from shapelog.llm.common import join_keyed, materialize, release_shuffles, table, work_dir
+from shapelog.llm.common import join_keyed, materialize, release_memory, release_shuffles, table, work_dir
 from shapelog.llm.components import components
 
 SHINGLE = 5
@@ -317,6 +317,7 @@ def ngram_join(docs: DataFrame, folder: str, size: int = SHINGLE, percent: int =
     members = blocks(own, counts, size, percent, folder).join(classes.select("c", "n", "first.*").hint("merge"), ["c", "n"])
     members = materialize(members, f"{folder}/members")
     release_shuffles(docs.sparkSession)
+    release_memory()
     edges = materialize(multiply(own, members, size, percent, block_rows, folder), f"{folder}/links")
     roots = components(edges, folder).withColumnRenamed("node", "c")
     placed = classes.join(roots.hint("merge"), "c", "left").select("c", "n", "copies", "first", F.coalesce("root", "c").alias("root"))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shapelog.llm import kernels, spans
-from shapelog.llm.common import table
+from shapelog.llm.common import release_memory, table
 from shapelog.llm.toxicity import held_out, sigmoid, training_rows, within
 
 TAPS, FILTERS, HIDDEN = 5, 8, 12
@@ -187,7 +187,10 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> Weights:
     sample = training_rows(docs, labels, "quality", limit)
     got = within(sample, F.coalesce(F.octet_length("text"), F.lit(0)), TRAIN_BYTES).toArrow().sort_by("doc_id")
     texts = [(x or "").encode() for x in got["text"].to_pylist()]
-    return train(texts, got["label"].to_numpy().astype(np.float32))
+    weights = train(texts, got["label"].to_numpy().astype(np.float32))
+    del got, texts
+    release_memory()
+    return weights
 
 
 def score(docs: DataFrame, weights: Weights) -> DataFrame:

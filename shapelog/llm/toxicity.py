@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shapelog.llm import kernels, spans
-from shapelog.llm.common import table
+from shapelog.llm.common import release_memory, table
 
 BITS = 20
 PREFIXES = (4, 5)
@@ -146,18 +146,19 @@ def train(rows: list[np.ndarray], labels: np.ndarray, seed: int = 0, epochs: tup
         total[row] += 1
         toxic[row] += label > 0
     # The term's sign: how surely its odds differ from those of all rows, in standard errors.
+    known = np.flatnonzero(total >= LEAST_DOCUMENTS)
+    total, toxic = total[known], toxic[known]
     odds = np.log((toxic + 0.5) / (total - toxic + 0.5)) - base
     sure = np.abs(odds) / np.sqrt(1 / (toxic + 0.5) + 1 / (total - toxic + 0.5))
-    known = np.flatnonzero(total >= LEAST_DOCUMENTS)
     rng = np.random.default_rng(seed)
     judge = np.sort(rng.permutation(n)[: n // JUDGES])
     learn = np.setdiff1d(np.arange(n), judge)
     if n < JUDGES**2:  # too few to set any aside
         judge = learn = np.arange(n)
-    place = np.full(1 << BITS, -1)
+    place = np.full(1 << BITS, -1, np.int32)
     machine = Machine(base, np.zeros(len(known)), rng.normal(0, 0.01, (len(known), FACTORS)))
     start = machine.v.copy()
-    for chosen, passes, rate in ((known[sure[known] > SURE], epochs[0], 0.1), (known, epochs[1], 0.1)):
+    for chosen, passes, rate in ((known[sure > SURE], epochs[0], 0.1), (known, epochs[1], 0.1)):
         place[:] = -1
         place[chosen] = np.searchsorted(known, chosen)
         own = [p[p >= 0] for p in (place[row] for row in rows)]
@@ -203,7 +204,10 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_ROWS) -> Machine:
     got = within(sample, F.size("terms"), TRAIN_TERMS).toArrow().sort_by("doc_id")
     lists = got["terms"].combine_chunks()
     ends, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
-    return train([flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)], got["label"].to_numpy())
+    machine = train([flat[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)], got["label"].to_numpy())
+    del got, lists, ends, flat
+    release_memory()
+    return machine
 
 
 def score(docs: DataFrame, machine: Machine) -> DataFrame:
