@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from shapelog.functions import parse
 from shapelog.functions.scalars import lineage
-from shapelog.functions.text import Stages, settled, strip
+from shapelog.functions.text import Stages, settled
 from shapelog.operators import normalize, templates
 from shapelog.operators.formats import with_format
 from shapelog.sources.shared import shared_folder, written
@@ -56,9 +56,10 @@ def _finish(rows: DataFrame, stages: Stages, event: Column, now: Column | None)
 
 def parsed_lines(lines: DataFrame, books: list[dict] | None = None, shapes: list[str] | None = None) -> DataFrame:
     """Lines that aren't blank, with format and fields; a table's header goes and its rows count from 1."""
-    known = lines if "format" in lines.columns else with_format(lines)
+    # Settled, as the filters would else run where lines that are then dealt out are unpacked, which is one task.
+    known = settled(lines if "format" in lines.columns else with_format(lines), "read")
     csv = F.col("format") == "csv"
-    rows = known.filter(strip(F.col("raw")) != "").filter(~csv | (F.col("line_number") > 1))
+    rows = known.filter(F.col("raw").rlike(r"(?U)\S")).filter(~csv | (F.col("line_number") > 1))
     rows = rows.withColumn("line_number", F.when(csv, F.col("line_number") - 1).otherwise(F.col("line_number")))
     return with_fields(rows, books, shapes)
 

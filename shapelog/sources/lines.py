@@ -15,6 +15,10 @@ from shapelog.sources.shared import join_small
 
 #: Bytes unpacked at once.
 UNPACKED = 4 << 20
+#: Lines from which a split counts as large: what is packed is one split, however large it is.
+LARGE_SPLIT = 10_000
+#: Lines that follow each other and stay together when a large split is dealt out.
+DEALT_LINES = 64
 
 
 def source_path(uri: Column) -> Column:
@@ -28,14 +32,15 @@ def source_name(path: Column) -> Column:
 
 
 def survey(rows: DataFrame) -> DataFrame:
-    """Of each split of (uri, block, value, at) rows: its first `at`, its lines n, lines before it in the file, and whether the file is gzip by its first bytes.
+    """Of each split of (uri, block, value, at) rows: its first `at`, its lines n, lines before it in the file, whether the file is gzip by its first bytes, and its path and name.
 
     One scan that sends a row a split; the result is kept, as it decides how the lines are read.
     """
     magic = F.substring(F.col("value").cast("binary"), 1, 2) == F.lit(bytearray(b"\x1f\x8b"))
     counts = rows.groupBy("uri", "block").agg(F.min("at").alias("start"), F.count("*").alias("n"), F.min(F.when(magic & (F.col("block") == 0), F.col("at"))).alias("magic"))
+    path = source_path(F.col("uri"))
     before, whole = Window.partitionBy("uri").orderBy("block").rowsBetween(Window.unboundedPreceding, -1), Window.partitionBy("uri")
-    found = counts.select("uri", "block", "start", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("off"), F.coalesce(F.bool_or(F.col("magic") == F.col("start")).over(whole), F.lit(False)).alias("gzip"))
+    found = counts.select("uri", "block", "start", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("off"), F.coalesce(F.bool_or(F.col("magic") == F.col("start")).over(whole), F.lit(False)).alias("gzip"), path.alias("source_path"), source_name(path).alias("source_name"))
     return found.persist()
 
 
@@ -52,8 +57,22 @@ def numbered(rows: DataFrame, splits: DataFrame | None = None) -> DataFrame:
     joined = join_small(rows, splits, ["uri", "block"], "left").filter("gzip IS NULL OR NOT gzip")
     place = F.col("at") - F.col("start")
     number = F.when(place.between(0, F.col("n") - 1), place + F.col("off") + 1).otherwise(F.raise_error(F.lit("the files are split otherwise than when they were surveyed")).cast("bigint"))
-    path = source_path(F.col("uri"))
-    return joined.select(path.alias("source_path"), source_name(path).alias("source_name"), number.alias("line_number"), F.make_valid_utf8("value").alias("raw"))
+    columns = ["source_path", "source_name", number.alias("line_number"), F.make_valid_utf8("value").alias("raw")]
+    # What follows costs far more than reading a line, so a packed file's lines aren't left to the one task that can read them.
+    large = F.coalesce(packed(F.col("uri")) & (F.col("n") > LARGE_SPLIT), F.lit(False))
+    if splits.filter(large).isEmpty():
+        return joined.select(*columns)
+    return joined.filter(~large).select(*columns).unionByName(dealt(joined.filter(large).select(*columns)))
+
+
+def packed(uri: Column) -> Column:
+    """Whether a file's extension is one of a codec that Spark's reader unpacks as one split."""
+    return uri.rlike(r"\.(?:gz|deflate|lz4|snappy|zst)$")
+
+
+def dealt(lines: DataFrame) -> DataFrame:
+    """The lines spread over the tasks of a shuffle, by runs of a few; their numbers are theirs already."""
+    return lines.repartition("source_path", F.floor(F.col("line_number") / DEALT_LINES))
 
 
 def split_lines(text: DataFrame) -> DataFrame:
@@ -65,7 +84,8 @@ def read_misnamed_gzip(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Gzip files without the extension that Spark's readers go by, unpacked as a stream.
 
     Their bytes come as rows of what newlines part, through the same reader as lines, so any store and any
-    size works; a file's rows meet in one task, in order, as gzip can't be split.
+    size works; a file's rows meet in one task, in order, as gzip can't be split. The lines are then dealt
+    out, so that only unpacking is that task's work.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,13 +108,13 @@ def read_misnamed_gzip(spark: SparkSession, paths: list[str]) -> DataFrame:
 
     def out(path: str, number: int, lines: list[bytes]) -> pa.RecordBatch:
         columns = [pa.array([path] * len(lines)), pa.array(range(number + 1, number + len(lines) + 1), pa.int64()), pa.array([x.decode("utf-8", "replace") for x in lines])]
-        return pa.RecordBatch.from_arrays(columns, names=["uri", "line_number", "raw"])
+        return pa.RecordBatch.from_arrays(columns, names=["source_path", "line_number", "raw"])
 
     raw = split_lines(spark.read.option("lineSep", "\n").text(paths)).withColumn("at", F.monotonically_increasing_id())
     parts = raw.select("uri", "block", "at", F.col("value").cast("binary").alias("part")).repartition("uri").sortWithinPartitions("uri", "block", "at")
-    found = parts.mapInArrow(run, "uri string, line_number bigint, raw string")
-    path = source_path(F.col("uri"))
-    return found.select(path.alias("source_path"), source_name(path).alias("source_name"), "line_number", "raw")
+    found = parts.mapInArrow(run, "source_path string, line_number bigint, raw string")
+    path = source_path(F.col("source_path"))
+    return dealt(found).select(path.alias("source_path"), source_name(path).alias("source_name"), "line_number", "raw")
 
 
 def read_lines(spark: SparkSession, *paths: str, detect_gzip: bool = True) -> DataFrame:
