@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shapelog.functions.sniff import commas, csv_header, sniff_line
+from shapelog.functions.text import settled
 from shapelog.sources.shared import join_small
 
 #: Lines of a file that are looked at.
@@ -24,7 +25,8 @@ def file_formats(lines: DataFrame, sample: int = SAMPLE) -> DataFrame:
     body = F.slice("top", 2, sample)
     even = F.forall(body, lambda x: (F.regexp_replace(x["raw"], r"(?U)\s", "") == "") | (commas(x["raw"]) == commas(header)))
     csv = (F.size(body) > 0) & csv_header(header) & even
-    votes = first.select("source_path", "line_number", sniff_line(F.col("raw")).alias("label")).filter(~F.col("label").isin("empty", "csv_like"))
+    # Settled, as the filter would else move to where the lines are read, and look at all of them.
+    votes = settled(first.select("source_path", "line_number", sniff_line(F.col("raw")).alias("label")), "first").filter(~F.col("label").isin("empty", "csv_like"))
     counted = votes.groupBy("source_path", "label").agg(F.count("*").alias("n"), F.min("line_number").alias("at"))
     winner = counted.groupBy("source_path").agg(F.min_by("label", F.struct(-F.col("n"), F.col("at"))).alias("label"))
     joined = top.join(winner, "source_path", "left")
