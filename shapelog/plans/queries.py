@@ -483,7 +483,7 @@ def bulk_ndjson(spark, sf_dir):
 @query("sql_functions", f"{SQL_BASE} SELECT event_id, action, protocol, src_port AS port, src_ip AS ip FROM e")
 def sql_functions_query(spark, sf_dir):
     sql_functions.register(spark)
-    return base(spark, sf_dir).selectExpr("event_id", "log_action(word) AS action", "log_protocol(proto) AS protocol", "log_int(concat(' ', src_port)) AS port", "log_ipv4s(concat('a ', src_ip))[0] AS ip")
+    return base(spark, sf_dir).selectExpr("event_id", "log_action(word) AS action", "log_protocol(proto) AS protocol", "log_int(concat(' ', src_port)) AS port", "get(log_ipv4s(concat('a ', src_ip)), 0) AS ip")
 
 
 @query("stream_events", f"{SQL_BASE} SELECT action, count(*) AS events, CAST(sum(event_id + 1) AS BIGINT) AS numbers FROM e GROUP BY action")
