@@ -40,11 +40,14 @@ def flatten(events: DataFrame) -> DataFrame:
 
 
 def write_all(events: DataFrame, folder: str, index: str = INDEX) -> None:
-    """All file sinks. The events are written as Parquet once, and the text sinks read that."""
-    flatten(events).write.mode("overwrite").parquet(f"{folder}/events.parquet")
+    """All file sinks, packed. The events are written as Parquet once, and the text sinks read that.
+
+    The text sinks hold every event with all its names, so unpacked they are many times the lines they come from.
+    """
+    flatten(events).write.mode("overwrite").option("compression", "zstd").parquet(f"{folder}/events.parquet")
     back = unflatten(events.sparkSession.read.parquet(f"{folder}/events.parquet"))
     for name, rows in (("all_events.jsonl", jsonl(back)), ("bulk.ndjson", bulk_ndjson(back, index)), ("docs.ndjson", jsonl(back))):
-        rows.write.mode("overwrite").text(f"{folder}/{name}")
+        rows.write.mode("overwrite").option("compression", "gzip").text(f"{folder}/{name}")
 
 
 def unflatten(rows: DataFrame) -> DataFrame:
