@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from shapelog.operators import summary
 from shapelog.schema import EVENT_FIELDS, LINEAGE_FIELDS
+from shapelog.sources.shared import shared_folder, written
 
 INDEX = "shapelog-events"
 
@@ -89,11 +90,16 @@ SCRIPT = "const b=document.querySelector('#events tbody');document.querySelector
 
 
 def dashboard(events: DataFrame, title: str = "Events") -> str:
-    """A page of totals, charts and the first events, from aggregates of bounded size."""
+    """A page of totals, charts and the first events, from aggregates of bounded size.
+
+    The columns that it shows are written once, as each number is a scan of its own and lines are dear to parse.
+    """
+    columns = ["timestamp", "vendor", "source_format", "action", "src_ip", "dst_ip", "confidence"]
+    lineage = F.struct("lineage.source_path", "lineage.line_number").alias("lineage")
+    events = written(events.select(*columns, lineage), f"{shared_folder(events.sparkSession)}/shown")
     t = summary.totals(events).first()
     pairs = lambda df: [(r[0], r["events"]) for r in df.collect()]
     most = lambda column, n: pairs(summary.top(events.withColumn(column, summary.or_unknown(column)), column, n))
-    columns = ["timestamp", "vendor", "source_format", "action", "src_ip", "dst_ip", "confidence"]
     rows = "".join("<tr>" + "".join(f"<td>{html.escape('' if r[c] is None else str(r[c]))}</td>" for c in columns) + "</tr>" for r in summary.sample(events).select(*columns).collect())
     head = "".join(f"<th>{c}</th>" for c in columns)
     kpis = [("events", f"{t.events:,}"), ("deny rate", f"{t.deny_rate:.1f}%"), ("average confidence", f"{t.avg_confidence:.2f}"), ("source addresses", f"{t.src_ips:,}"), ("formats", t.formats), ("vendors", t.vendors)]
